@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash
+from tidemark.llm import minhash, suffix_dedup
 from tidemark.llm.common import read
 
 
@@ -12,8 +12,15 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op4_minhash": op4_minhash,
+    "op6_suffix": op6_suffix,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_suffix": suffix_dedup.ORACLE_SQL,
+}
