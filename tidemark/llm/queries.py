@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, suffix_dedup
+from tidemark.llm import minhash, suffix_dedup, toxicity
 from tidemark.llm.common import read
 
 
@@ -12,12 +12,17 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op4_minhash": op4_minhash,
+    "op5_toxicity": op5_toxicity,
     "op6_suffix": op6_suffix,
 }
 

@@ -26,7 +26,9 @@ from tidemark.llm.common import fresh
 
 SAMPLE = 16_000
 DIM = 1 << 20
-ALPHA, BETA, L1, L2, EPOCHS = 0.1, 1.0, 1.0, 1.0, 4
+ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 6.0, 1.0, 6
+#: Features of fewer training texts than this are left out: they could only be learnt by heart.
+LEAST_TEXTS = 4
 #: The model's largest number of weights; training raises L1 until it fits.
 MOST_WEIGHTS = 1 << 18
 
@@ -113,6 +115,11 @@ def _train(epochs: int, least_l1: float):
         fit = [i for i in turn if not held[i]]
         if len(set(y[fit])) < 2:
             return
+        seen = np.zeros(DIM + 1, np.int64)
+        for i in fit:
+            seen[xs[i]] += 1
+        seen[DIM] = LEAST_TEXTS
+        xs = [x[seen[x] >= LEAST_TEXTS] for x in xs]
         l1 = least_l1
         while True:
             w = ftrl([xs[i] for i in fit], y[fit], np.ones(len(fit)), DIM, l1, epochs)
