@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash, suffix_dedup, toxicity
+from tidemark.llm import line_dedup, minhash, suffix_dedup, toxicity
 from tidemark.llm.common import read
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -21,6 +25,7 @@ def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lines": op1_lines,
     "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_suffix": op6_suffix,
