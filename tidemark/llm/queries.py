@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, minhash, suffix_dedup, toxicity
+from tidemark.llm import curriculum, line_dedup, minhash, packing, suffix_dedup, toxicity
 from tidemark.llm.common import read
 
 
@@ -24,13 +24,24 @@ def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(read(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.positions(read(spark, sf_dir, "documents")).orderBy("position", "doc_id", "epoch")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_suffix": op6_suffix,
+    "op7_mixing": op7_mixing,
+    "op9_packing": op9_packing,
 }
 
 ORACLE: dict[str, str] = {
     "op6_suffix": suffix_dedup.ORACLE_SQL,
+    "op7_mixing": curriculum.ORACLE_SQL,
 }
