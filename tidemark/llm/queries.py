@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import curriculum, line_dedup, minhash, packing, suffix_dedup, toxicity
+from tidemark.llm import curriculum, language_id, line_dedup, minhash, packing, suffix_dedup, toxicity
 from tidemark.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op4_minhash": op4_minhash,
@@ -39,6 +43,7 @@ QUERIES = {
     "op6_suffix": op6_suffix,
     "op7_mixing": op7_mixing,
     "op9_packing": op9_packing,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {
