@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import curriculum, language_id, line_dedup, minhash, packing, suffix_dedup, toxicity
+from tidemark.llm import curriculum, kmeans_tree, language_id, line_dedup, minhash, packing, pivot_index, suffix_dedup, toxicity
 from tidemark.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.exact_topk(read(spark, sf_dir, "embeddings")).selectExpr("id AS vec_id", "rank", "neighbor AS neighbor_id")
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.positions(read(spark, sf_dir, "documents")).orderBy("position", "doc_id", "epoch")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.approximate_topk(read(spark, sf_dir, "embeddings")).selectExpr("id AS vec_id", "rank", "neighbor AS neighbor_id", "distance")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -38,15 +46,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lines": op1_lines,
+    "op2_topk": op2_topk,
     "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_suffix": op6_suffix,
     "op7_mixing": op7_mixing,
+    "op8_ann": op8_ann,
     "op9_packing": op9_packing,
     "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_topk": pivot_index.ORACLE_SQL,
     "op6_suffix": suffix_dedup.ORACLE_SQL,
     "op7_mixing": curriculum.ORACLE_SQL,
 }
