@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import curriculum, kmeans_tree, language_id, line_dedup, minhash, packing, pivot_index, suffix_dedup, toxicity
+from tidemark.llm import curriculum, kmeans_tree, language_id, line_dedup, minhash, packing, pivot_index, suffix_dedup, tool_calls, toxicity
 from tidemark.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_index.exact_topk(read(spark, sf_dir, "embeddings")).selectExpr("id AS vec_id", "rank", "neighbor AS neighbor_id")
 
 
+def op3_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.format_conversations(read(spark, sf_dir, "conversations"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_topk": op2_topk,
+    "op3_tools": op3_tools,
     "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_suffix": op6_suffix,
@@ -58,6 +63,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_topk": pivot_index.ORACLE_SQL,
+    "op3_tools": tool_calls.ORACLE_SQL,
     "op6_suffix": suffix_dedup.ORACLE_SQL,
     "op7_mixing": curriculum.ORACLE_SQL,
 }
