@@ -93,8 +93,8 @@ def positions(docs: DataFrame, schedule: Schedule | None = None, id_col: str = "
     placed = rows.withColumn("inner", inner).join(sums, ["source", "bucket"]).withColumn("start", F.col("base") + F.col("inner")).join(sized(table), "source")
     last = F.greatest(F.lit(0), F.expr("CASE WHEN demand > 0 THEN (demand - start - 1) DIV supply ELSE 0 END"))
     placed = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
-    placed = placed.withColumn("x", F.expr("(epoch * supply + start) / demand * area"))
-    placed = placed.withColumn("p", F.expr("element_at(filter(pieces, s -> s.c <= x), -1)")).withColumn("y", F.expr("x - p.c"))
+    placed = placed.withColumn("x", F.expr("(epoch * supply + start) / nullif(demand, 0) * area"))
+    placed = placed.withColumn("p", F.expr("try_element_at(filter(pieces, s -> s.c <= x), -1)")).withColumn("y", F.expr("x - p.c"))
     t = F.expr("CASE WHEN demand = 0 THEN 0D WHEN y <= 0 THEN p.t ELSE p.t + 2 * y / (p.w + sqrt(greatest(0D, p.w * p.w + 2 * p.m * y))) END")
     return placed.select("doc_id", "source", "epoch", "tokens", F.floor(F.least(t, F.lit(1.0)) * F.lit(float(total))).cast("long").alias("position"))
 
