@@ -113,7 +113,7 @@ def is_public(url: Column, excluded: tuple[str, ...] = ()) -> Column:
 
 def archive_guesses(url: Column, published: Column) -> Column:
     """Snapshot addresses 1, 7 and 30 days after publication; one open address without a date."""
-    dated = F.transform(F.array(*map(F.lit, (1, 7, 30))), lambda d: F.date_format(F.timestampadd("DAY", d, published), "yyyyMMddHHmmss"))
+    dated = F.transform(F.array(*map(F.lit, (1, 7, 30))), lambda d: F.date_format(F.timestamp_add("DAY", d, published), "yyyyMMddHHmmss"))
     stamps = F.when(published.isNull(), F.array(F.lit("2"))).otherwise(dated)
     return F.transform(stamps, lambda s: F.concat(F.lit("https://web.archive.org/web/"), s, F.lit("id_/"), url))
 
