@@ -164,3 +164,83 @@ def test_event_windows_stream(spark, tmp_path):
     q = pages.windowed(s, "ts", ["kind"]).writeStream.format("memory").queryName("win").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r.start.hour, r.n) for r in spark.table("win").collect()) == [(0, 2), (1, 1), (5, 1)]
+
+
+def test_more_sources(spark, tmp_path):
+    found = {"results": [{"page": {"url": "https://a.com/2012/01/02/x"}, "task": {"url": "https://a.com/2012/01/02/x"}}, {"page": {"url": "https://a.com/undated"}, "task": None}]}
+    assert [r.url for r in indexes.parse_search(spark.createDataFrame([(json.dumps(found),)], "body string")).collect()] == ["https://a.com/2012/01/02/x"]
+    from tidemark.functions import quality
+
+    def doc(**m):
+        return json.dumps({"doc_ix": 5, "doc_len": m.pop("n", 900), "metadata": {"url": "https://www.a.com/x", "hostname": "a.com", "date": "2016-02-03", "language": "en", "warc_source": "w", "title": "one two three four"} | m})
+
+    cases = [({}, None), ({"url": "https://b.com/"}, "other-host"), ({"hostname": "c.com"}, "host-differs"), ({"date": "2015"}, "other-year"), ({"title": "x"}, "short-title"), ({"n": 3}, "short-text"), ({"language": None}, "other-language"), ({"warc_source": ""}, "no-source"), ({"title": "x", "n": 1}, "short-title")]
+    d = indexes.parse_documents(spark.createDataFrame([(doc(**m),) for m, _ in cases], "body string").coalesce(1))
+    assert [r.x for r in d.select(quality.document_rejection(F.col("document"), F.lit(2016), "a.com").alias("x")).collect()] == [w for _, w in cases]
+    spark.range(10).selectExpr("id AS v").repartition(2).write.parquet(f"{tmp_path}/c")
+    corpus = spark.read.parquet(f"{tmp_path}/c")
+    off = indexes.corpus_offsets(spark, f"{tmp_path}/c")
+    assert sorted(r["index"] for r in indexes.corpus_rows_at(corpus, off, spark.createDataFrame([(0,), (9,), (77,)], "index long")).collect()) == [0, 9]
+    page = "<a class=x href='/1'>One <b>two</b></a><a href=\"/1\">One two</a><A HREF=/2>x</A><a name=y>no</a>"
+    assert sorted(tuple(r) for r in indexes.anchors(spark.createDataFrame([(page,)], "html string")).collect()) == [("/1", "One two"), ("/2", "x")]
+
+
+def test_warc_files(spark, tmp_path):
+    from tidemark.functions import warc
+
+    def rec(url, body):
+        http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n" + body
+        return b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: " + url + b"\r\nContent-Length: " + str(len(http)).encode() + b"\r\n\r\n" + http + b"\r\n\r\n"
+
+    parts = [rec(b"http://a/", b"short"), rec(b"http://b/", b"other and longer"), rec(b"http://a/", b"longer")]
+    raw = b"".join(parts)
+    df = spark.createDataFrame([(raw, "http://a"), (raw[:-12], "http://a"), (None, "http://a")], "c binary, u string")
+    assert [r.x and bytes(r.x) for r in df.select(warc.longest_body(F.col("c"), F.col("u")).alias("x")).collect()] == [b"longer", None, None]
+    (tmp_path / "w").write_bytes(raw)
+    rows = spark.createDataFrame([("w", len(parts[0]), len(parts[1])), ("gone", 0, 1)], "filename string, offset long, length long")
+    got = {r.filename: r.d for r in warc.read_ranges(rows, str(tmp_path)).select("filename", warc.decode(F.col("content")).alias("d")).collect()}
+    assert bytes(got["w"].body) == b"other and longer" and got["gone"].body is None
+    import gzip
+
+    df = spark.createDataFrame([(gzip.compress(b"x"), "gzip"), (b"x", None), (b"\x1f\x8bbad", "gzip")], "c binary, e string")
+    assert [r.x and bytes(r.x) for r in df.select(warc.decode_body(F.col("c"), F.col("e")).alias("x")).collect()] == [b"x", b"x", None]
+
+
+def test_reload_and_reconcile(spark):
+    cand = "array<struct<provider string, snapshotUrl string>>"
+    old = [("a", None, "s", [("w", "1"), ("live-origin", "L")], "error", 3), ("b", "d", None, [("w", "1")], "error", 3), ("c", "d", None, [("w", "1")], "complete", 1)]
+    new = [("a", "d2", None, [("w", "2")]), ("b", None, "t", [("w", "1")]), ("c", "d3", None, [("w", "9")]), ("e", None, None, [("w", "5")])]
+    got = {r.url: r for r in state.reload_manifest(spark.createDataFrame(old, f"url string, published string, section string, candidates {cand}, status string, attempts int"), spark.createDataFrame(new, f"url string, published string, section string, candidates {cand}")).collect()}
+    assert ([c_.snapshotUrl for c_ in got["a"].candidates], got["a"].status, got["a"].attempts, got["a"].published, got["a"].section) == (["2", "L"], "pending", 0, "d2", "s")
+    assert (got["b"].status, got["b"].attempts, got["b"].section) == ("error", 3, "t")
+    assert ([c_.snapshotUrl for c_ in got["c"].candidates], got["c"].published, got["c"].status) == (["1"], "d3", "complete") and got["e"].status == "pending"
+    q = spark.createDataFrame([(1, "pending"), (2, "closed"), (1, "complete")], "year int, status string")
+    art = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (2, "x")], "year int, url string")
+    assert sorted(tuple(r) for r in state.reconcile(q, art, 2).collect()) == [(1, "closed"), (1, "complete"), (2, "pending")]
+
+
+def test_plans(spark):
+    rows = spark.createDataFrame([("p", 1, "holdout-2", 5, 10, 2), ("p", 1, "source", 50, 4, 0), ("q", 1, "source", 5, 7, 0)], "publisher string, year int, cohort string, evaluated int, eligible int, excluded int")
+    assert sorted(tuple(r) for r in dispatch.next_cohort(rows).collect()) == [("p", 1, "holdout-3"), ("q", 1, "holdout-1")]
+    cap = spark.createDataFrame([("p", 1, 20)], "publisher string, year int, capacity int")
+    assert sorted(tuple(r) for r in dispatch.candidate_bound(rows, cap).collect()) == [("p", 1, 18), ("q", 1, 7)]
+    t = spark.createDataFrame([("a", 1, 2, 5), ("b", 1, 2, 1), ("c", 1, 2, 0), ("d", 1, 2, 0)], "publisher string, first int, last int, priority int")
+    s = spark.createDataFrame([("b", 1, 2, False), ("c", 1, 2, True)], "publisher string, first int, last int, complete boolean")
+    assert [r.publisher for r in dispatch.catalog_dispatch(t, s, spark.createDataFrame([("d",)], "publisher string"), 5).collect()] == ["a", "b"]
+
+
+def test_more_columns(spark):
+    from tidemark.functions import html, quality, urls
+
+    x = lambda col: spark.range(1).select(col.alias("x")).first().x
+    assert x(urls.replay_matches(F.lit("https://web.archive.org/web/2012/http://www.a.com/x/"), F.lit("https://a.com/x"))) is True
+    assert x(F.array(*(urls.source_priority(F.lit(u), ("a.com",), ("b.com",)) for u in ("https://m.a.com/", "https://b.com/", "https://xa.com/")))) == [0, 1, 2]
+    assert x(urls.unwrap_redirect(F.lit("https://r.search/_ylt=1/RU=https%3a%2f%2fa.com%2fx/RK=2"))) == "https://a.com/x"
+    assert x(urls.embedded(F.lit('<a href="http://npr.org/2012/a">x</a> https://www.npr.org/2012/a/ http://b.com'), urls.RULES["npr"])) == ["https://www.npr.org/2012/a"]
+    assert urls.spec_fingerprint(urls.RULES["npr"], 2010, 2011) != urls.spec_fingerprint(urls.RULES["npr"], 2010, 2012)
+    a = html.article(F.lit("<h1>H</h1><article><p>" + "word " * 300 + "</p><img src='https://a.com/x.jpg'></article>"), F.lit("https://a.com/"))
+    r = spark.range(1).select(a.alias("a")).select(quality.article_violations(F.col("a")).alias("v"), quality.thin(F.col("a")).alias("t")).first()
+    assert r.v == [] and r.t is False
+    assert x(quality.paywalled(F.lit("Subscribe to continue"))) is True and x(quality.is_notice(F.lit("Correction: x"), F.lit(""))) is True
+    assert x(quality.noise_sequence(F.array(F.lit("read"), F.lit("more"), F.lit("here")), ("read more",))) is True
+    assert x(quality.placeholder_image(F.lit("https://a.com/img%2Fplaceholder.png"))) is True

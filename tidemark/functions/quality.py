@@ -100,3 +100,71 @@ def response_verdict(status: Column, url: Column, html: Column) -> Column:
     s = signals(html, status, F.lit("text/html"), url)
     reason = F.when(status.isin(401, 403, 429), "blocked").when(status == 404, "missing").when(s["challenge"], "challenge").when(s["archive_error"], "archive-error").when(s["accepted"] & s["looks_html"], "available").otherwise("unusable")
     return F.struct(reason.isin("blocked", "challenge").alias("blocked"), (reason == "available").alias("available"), reason.alias("reason"))
+
+
+def document_rejection(d: Column, year: Column, host: str, least_title: int = 4, least_length: int = 400, language: str = "en") -> Column:
+    """Why a corpus document (struct of url, hostname, date, title, length, language, source) isn't taken, the
+    first reason; null where it is.  The order of the gates is part of the result."""
+    from tidemark.functions import urls
+
+    words = F.size(F.regexp_extract_all(F.lower(F.coalesce(d["title"], F.lit(""))), F.lit("([a-z0-9]+)"), 1))
+    return (
+        F.when(d["url"].isNull() | (F.coalesce(urls.host(d["url"]), F.lit("")) != host), "other-host")
+        .when(F.regexp_replace(F.lower(F.coalesce(d["hostname"], F.lit(""))), r"^www\.", "") != urls.host(d["url"]), "host-differs")
+        .when(~F.coalesce(F.substring(d["date"], 1, 4) == year.cast("string"), F.lit(False)), "other-year")
+        .when(words < least_title, "short-title")
+        .when(F.coalesce(d["length"], F.lit(0)) < least_length, "short-text")
+        .when(~F.coalesce(d["language"] == language, F.lit(False)), "other-language")
+        .when(F.coalesce(d["source"], F.lit("")) == "", "no-source")
+    )
+
+
+def body_evidence(article: Column) -> Column:
+    """struct(characters, images, paragraphs) of a parsed article."""
+    return F.struct(F.char_length(article["plain_text"]).alias("characters"), F.size(F.filter(article["images"], lambda i: i["keep"])).alias("images"), F.size(F.filter(article["blocks"], lambda b: b["kind"] == "paragraph")).alias("paragraphs"))
+
+
+def thin(article: Column, least: int = 400, gallery: int = 3) -> Column:
+    """Too little text for an article, and too few images for a gallery."""
+    e = body_evidence(article)
+    return (e["characters"] < least) & (e["images"] < gallery)
+
+
+def paywalled(plain: Column, most: int = 1000) -> Column:
+    """A short text that asks for a subscription."""
+    return (F.char_length(plain) < most) & F.lower(plain).rlike(r"subscribe to (?:continue|read|unlock)|already a subscriber|sign in to read")
+
+
+def rescued(s: Column, article: Column) -> Column:
+    """A subscription shell around an article that is there in full is usable."""
+    return s["subscription"] & (article["status"] == "complete") & ~paywalled(article["plain_text"])
+
+
+def is_notice(headline: Column, plain: Column) -> Column:
+    """A notice of the publisher rather than an article."""
+    return F.lower(F.concat_ws(" ", headline, F.substring(plain, 1, 300))).rlike(r"^(?:correction|clarification|editor'?s note|for the record)\b|this (?:story|article) (?:has been|was) (?:removed|withdrawn|retracted)")
+
+
+def noise_sequence(blocks: Column, phrases: tuple[str, ...], reach: int = 3) -> Column:
+    """Whether up to `reach` consecutive blocks together hold one of the phrases."""
+    joined = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(blocks))), lambda i: F.array_join(F.slice(blocks, i, F.lit(reach)), " "))
+    return F.exists(joined, lambda t: _any(t, phrases))
+
+
+def placeholder_image(url: Column) -> Column:
+    return F.lower(F.coalesce(F.try_url_decode(url), url)).rlike(r"placeholder|blank\.|spacer|1x1|transparent|default[-_]?(?:image|share)|lazy[-_]?load")
+
+
+def fallbacks(attempts: Column, validating: Column) -> Column:
+    """struct of the archives that are worth asking after so many attempts."""
+    return F.struct((attempts >= 1).alias("timemap"), ((attempts >= 1) | validating).alias("index"), (attempts >= 2).alias("mirrors"))
+
+
+def article_violations(a: Column) -> Column:
+    """Broken rules of an article struct: image blocks name an image that is there, positions count up from
+    0, an image is kept exactly if its role is."""
+    assets = F.transform(a["images"], lambda i: i["asset"])
+    lost = F.exists(a["blocks"], lambda b: b["asset"].isNotNull() & ~F.array_contains(assets, b["asset"]))
+    order = F.transform(a["blocks"], lambda b: b["position"]) != F.when(F.size(a["blocks"]) > 0, F.sequence(F.lit(0), F.size(a["blocks"]) - 1)).otherwise(F.array().cast("array<int>"))
+    roles = F.exists(a["images"], lambda i: i["keep"] != i["role"].isin("lead", "body", "gallery"))
+    return F.array_compact(F.array(F.when(lost, "unknown-image"), F.when(order, "positions"), F.when(roles, "image-role")))

@@ -133,3 +133,34 @@ def srcset(value: Column) -> Column:
     items = F.filter(F.transform(F.split(value, r",\s+"), lambda x: F.split(F.trim(x), r"\s+")), lambda x: F.element_at(x, 1) != "")
     sized = F.transform(items, lambda x: F.struct((-F.coalesce(F.regexp_extract(F.try_element_at(x, F.lit(2)), r"^(\d+)", 1).try_cast("bigint"), F.lit(0))).alias("w"), F.element_at(x, 1).alias("u")))
     return F.array_distinct(F.transform(F.array_sort(sized), lambda s: s["u"]))
+
+
+def replay_matches(replay: Column, url: Column) -> Column:
+    """Whether a replay address shows this article."""
+    return F.coalesce(match_key(snapshot_target(replay)) == match_key(url), F.lit(False))
+
+
+def source_priority(url: Column, first: tuple[str, ...], second: tuple[str, ...] = ()) -> Column:
+    """0 for hosts of the first list and their subdomains, 1 for the second, else 2."""
+    hit = lambda hosts: F.coalesce(host(url).rlike("(?:^|\\.)(?:" + "|".join(h.replace(".", "\\.") for h in hosts) + ")$"), F.lit(False)) if hosts else F.lit(False)
+    return F.when(hit(first), 0).when(hit(second), 1).otherwise(2)
+
+
+def unwrap_redirect(url: Column) -> Column:
+    """The target in a search result's redirect address."""
+    raw = F.coalesce(F.nullif(F.regexp_extract(url, r"[/?&;](?:RU|url|u|q)=(https?[^/&;]+)", 1), F.lit("")), url)
+    return F.coalesce(F.try_url_decode(raw), raw)
+
+
+def embedded(page: Column, rule: SourceRule) -> Column:
+    """Distinct canonical article URLs in a page, in order."""
+    found = F.regexp_extract_all(page, F.lit(r"(https?://[^\s\"'<>\\]+)"), 1)
+    return F.array_distinct(F.filter(F.transform(found, lambda u: normalize(rule, u)), lambda u: u.isNotNull()))
+
+
+def spec_fingerprint(rule: SourceRule, first: int, last: int) -> str:
+    """Hash of what a run looks up: a resumed run must have the same."""
+    import hashlib
+    import json
+
+    return hashlib.sha256(json.dumps({"name": rule.name, "first": first, "last": last, "prefixes": rule.query_prefixes(first, last)}, sort_keys=True, separators=(",", ":")).encode()).hexdigest()

@@ -102,3 +102,78 @@ def _decode(content: pa.Array) -> pa.Array:
 def decode(content: Column) -> Column:
     """Column of records to responses; what can't be decoded has an error instead."""
     return F.arrow_udf(_decode, SCHEMA)(content)
+
+
+def records(raw: bytes, most: int = MOST_BYTES) -> list[tuple[str, int, dict[str, str], bytes]]:
+    """Every HTML response of status 200 in a WARC file of several records; a cut-off record is an error."""
+    if raw[:2] == b"\x1f\x8b":
+        raw = gzip.decompress(raw)
+    out, at = [], 0
+    while raw[at:].strip():
+        at = raw.index(b"WARC/", at)
+        end = raw.index(b"\r\n\r\n", at)
+        size = int(_headers(raw[at:end]).get("content-length", "0"))
+        if len(raw) < end + 4 + size:
+            raise ValueError("record cut short")
+        one = raw[at : end + 4 + size]
+        at = end + 4 + size
+        if _headers(one.partition(b"\r\n\r\n")[0]).get("warc-type") == "response":
+            r = record(one, most)
+            if r[1] == 200 and "html" in r[2].get("content-type", "html"):
+                out.append(r)
+    return out
+
+
+def _longest(content: pa.Array, url: pa.Array) -> pa.Array:
+    out = []
+    for raw, target in zip(content.to_pylist(), url.to_pylist()):
+        try:
+            bodies = [b for t, _, _, b in records(raw) if target is None or t.rstrip("/") == target.rstrip("/")] if raw is not None else []
+        except (ValueError, zlib.error, gzip.BadGzipFile, EOFError):
+            bodies = []
+        out.append(max(bodies, key=len, default=None))
+    return pa.array(out, pa.binary())
+
+
+def longest_body(content: Column, url: Column) -> Column:
+    """The longest page of an address in a WARC file; null if there is none or the file is broken."""
+    return F.arrow_udf(_longest, "binary")(content, url)
+
+
+def _encoded(content: pa.Array, coding: pa.Array) -> pa.Array:
+    out = []
+    for raw, how in zip(content.to_pylist(), coding.to_pylist()):
+        try:
+            head = b"HTTP/1.1 200 OK\r\nContent-Encoding: " + (how or "").encode() + b"\r\n\r\n"
+            out.append(None if raw is None else http_body(head + raw)[2])
+        except (ValueError, zlib.error, EOFError):
+            out.append(None)
+    return pa.array(out, pa.binary())
+
+
+def decode_body(content: Column, coding: Column) -> Column:
+    """A stored body without its content coding; null if it is broken or too large."""
+    return F.arrow_udf(_encoded, "binary")(content, coding)
+
+
+def _ranges(root: str):
+    def run(batches):
+        for batch in batches:
+            out = []
+            for name, offset, length in zip(*(batch.column(k).to_pylist() for k in ("filename", "offset", "length"))):
+                try:
+                    with open(f"{root}/{name}", "rb") as f:
+                        f.seek(offset)
+                        out.append(f.read(length))
+                except OSError:
+                    out.append(None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "content"])
+
+    return run
+
+
+def read_ranges(rows, root: str):
+    """Add content to rows of (filename, offset, length): the byte range of a file in a folder that every
+    executor mounts.  Rows are sorted by file and place first, so that a task reads forward."""
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.repartitionByRange("filename", "offset").sortWithinPartitions("filename", "offset").mapInArrow(_ranges(root), f"{kinds}, content binary")

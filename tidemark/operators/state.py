@@ -78,3 +78,60 @@ def better_record(old: DataFrame, new: DataFrame, key: str, score: str) -> DataF
     both = old.withColumn("tm_old", F.lit(1)).unionByName(new.withColumn("tm_old", F.lit(0)))
     w = Window.partitionBy(key).orderBy(F.desc(score), F.desc("tm_old"))
     return both.withColumn("tm_k", F.row_number().over(w)).where("tm_k = 1").drop("tm_k", "tm_old")
+
+
+def reload_manifest(old: DataFrame, new: DataFrame, dynamic: tuple[str, ...] = ("live-origin",)) -> DataFrame:
+    """Captures (url, published, section, candidates, status, attempts) after a manifest (url, published, section,
+    candidates) is loaded again.
+
+    Dates and sections: the new ones unless null.  Only pending and failed rows take the new candidates, and
+    keep those that a dynamic provider added; a failed row is pending again only if its candidates changed."""
+    o, n = old.alias("o"), new.alias("n")
+    both = o.join(n, F.col("o.url") == F.col("n.url"), "full_outer")
+    fresh_ = F.col("o.url").isNull()
+    free = F.col("n.url").isNotNull() & F.col("o.status").isin("pending", "error")
+    kept = F.filter("o.candidates", lambda c: c["provider"].isin(*dynamic))
+    put = F.concat(F.col("n.candidates"), F.filter(kept, lambda c: ~F.exists("n.candidates", lambda m: m["snapshotUrl"] == c["snapshotUrl"])))
+    changed = free & (F.transform(put, lambda c: c["snapshotUrl"]) != F.transform("o.candidates", lambda c: c["snapshotUrl"]))
+    again = changed & (F.col("o.status") == "error")
+    return both.select(
+        F.coalesce("o.url", "n.url").alias("url"),
+        F.coalesce("n.published", "o.published").alias("published"),
+        F.coalesce("n.section", "o.section").alias("section"),
+        F.when(fresh_, F.col("n.candidates")).when(free, put).otherwise(F.col("o.candidates")).alias("candidates"),
+        F.when(fresh_ | again, "pending").otherwise(F.col("o.status")).alias("status"),
+        F.when(fresh_ | again, 0).otherwise(F.col("o.attempts")).alias("attempts"),
+    )
+
+
+def reconcile(queries: DataFrame, articles: DataFrame, target: int) -> DataFrame:
+    """Queries (year, status) closed where their year has target distinct articles (year, url), reopened where not."""
+    n = articles.groupBy("year").agg(F.countDistinct("url").alias("n"))
+    has = F.coalesce("n", F.lit(0)) >= target
+    status = F.when(has & F.col("status").isin("pending", "error"), "closed").when(~has & (F.col("status") == "closed"), "pending").otherwise(F.col("status"))
+    return queries.join(n, "year", "left").withColumn("status", status).drop("n")
+
+
+def split_undated(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(dated, undated): captures without a date are withheld until one is found."""
+    return rows.where("published IS NOT NULL"), rows.where("published IS NULL")
+
+
+def promote(undated: DataFrame, found: DataFrame, keep: int = 3) -> DataFrame:
+    """Withheld captures (url, captured, digest, snapshot) whose date was found (url, published), ranked and trimmed."""
+    from tidemark.functions import dates
+    from tidemark.operators.rank import top_per_key
+
+    rows = undated.drop("published").join(found, "url").withColumn("rank", dates.capture_distance(F.col("captured"), F.col("published")))
+    return top_per_key(rows, ["url"], ["rank", "captured", "digest", "snapshot"], keep).drop("rank")
+
+
+def selected(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of the chosen keys."""
+    return rows.join(keys.select(key), key, "left_semi")
+
+
+def resources(captures: DataFrame, keys: DataFrame, column: str = "dependent_resources_json") -> DataFrame:
+    """Distinct resource paths of the chosen captures; text that is no JSON array of objects has none."""
+    paths = F.transform(F.from_json(column, "array<struct<path string>>"), lambda r: r["path"])
+    return selected(captures, keys, "canonical_url").select(F.explode(paths).alias("path")).where("path IS NOT NULL").distinct()

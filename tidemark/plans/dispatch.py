@@ -51,3 +51,25 @@ def should_continue(queue: DataFrame, done: DataFrame, year: str, target: int, m
     """One row: whether a year under target has an item that can still be tried."""
     left = queue.where(F.col("status").isin("pending", "error") & (F.col("attempts") < most_attempts)).join(done, year, "left")
     return left.agg((F.count_if(F.coalesce("n", F.lit(0)) < target) > 0).alias("more"))
+
+
+def next_cohort(rows: DataFrame) -> DataFrame:
+    """(publisher, year, cohort): the holdout after the highest that was seen, current or stale."""
+    n = rows.groupBy("publisher", "year").agg(F.max(cohort_number(F.col("cohort"))).alias("n"))
+    return n.select("publisher", "year", F.concat(F.lit("holdout-"), (F.coalesce("n", F.lit(0)) + 1).cast("string")).alias("cohort"))
+
+
+def candidate_bound(rows: DataFrame, capacity: DataFrame) -> DataFrame:
+    """(publisher, year, bound): eligible candidates of the newest cohort and what the manifest has beyond those known."""
+    order = F.struct(F.coalesce(cohort_number(F.col("cohort")), F.lit(-1)), "evaluated")
+    last = rows.groupBy("publisher", "year").agg(F.max_by(F.struct("eligible", "excluded"), order).alias("r"))
+    growth = F.greatest(F.lit(0), F.coalesce("capacity", F.lit(0)) - (F.col("r.eligible") + F.col("r.excluded")))
+    return last.join(capacity, ["publisher", "year"], "left").select("publisher", "year", (F.col("r.eligible") + growth).alias("bound"))
+
+
+def catalog_dispatch(targets: DataFrame, status: DataFrame, active: DataFrame, slots: int) -> DataFrame:
+    """Catalogs to build next: targets (publisher, first, last, priority) without a status row for the same span,
+    then those that are incomplete; not active ones; by priority."""
+    done = status.select("publisher", "first", "last", "complete")
+    todo = targets.join(active, "publisher", "left_anti").join(done, ["publisher", "first", "last"], "left").where(~F.coalesce("complete", F.lit(False)))
+    return todo.orderBy(F.col("complete").isNotNull(), "priority", "publisher", "first").limit(slots)

@@ -175,3 +175,39 @@ class CdxSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(CdxSource)
+
+
+def parse_search(answers: DataFrame, body: str = "body") -> DataFrame:
+    """Distinct (url, published) of search-window answers: the page's and the task's address of each result,
+    dated by the address alone; undated ones go."""
+    from tidemark.functions import dates
+
+    a = answers.select(F.explode(F.from_json(body, "struct<results array<struct<page struct<url string>, task struct<url string>>>>").getField("results")).alias("r"))
+    u = a.select(F.explode(F.array("r.page.url", "r.task.url")).alias("url")).where("url IS NOT NULL").distinct()
+    return u.withColumn("published", dates.url_date(F.col("url"))).where("published IS NOT NULL")
+
+
+def parse_documents(answers: DataFrame, body: str = "body") -> DataFrame:
+    """Document answers to typed fields (url, hostname, date, title, length, language, source) and their place."""
+    d = F.from_json(body, "struct<doc_ix bigint, doc_len bigint, metadata struct<url string, date string, language string, hostname string, warc_source string, title string>>")
+    return answers.select(d.alias("d")).select(F.col("d.doc_ix").alias("place"), F.struct(F.col("d.metadata.url").alias("url"), F.col("d.metadata.hostname").alias("hostname"), F.col("d.metadata.date").alias("date"), F.col("d.metadata.title").alias("title"), F.col("d.doc_len").alias("length"), F.col("d.metadata.language").alias("language"), F.col("d.metadata.warc_source").alias("source")).alias("document"))
+
+
+def corpus_rows_at(corpus: DataFrame, offsets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of a corpus by their number over its files: wanted (index), offsets as `corpus_offsets` gives them.
+    The number of a row is its file's first plus its place in the file, which Parquet knows."""
+    numbered = corpus.withColumn("file", F.col("_metadata.file_path")).withColumn("place", F.col("_metadata.row_index")).join(F.broadcast(offsets), "file").withColumn("index", F.col("first") + F.col("place"))
+    return numbered.join(wanted, "index").drop("file", "place", "first", "rows")
+
+
+def known_rows(corpus: DataFrame, urls: DataFrame, key: str = "url") -> DataFrame:
+    """Rows of a corpus whose URL is known: a semi join, with Spark's bloom filter where it pays."""
+    return corpus.join(urls.select(key), key, "left_semi")
+
+
+def anchors(pages: DataFrame, html: str = "html") -> DataFrame:
+    """(href, text) of every link of the pages, each pair once, for search results stored as pages."""
+    found = F.regexp_extract_all(html, F.lit(r"(?is)(<a\s[^>]*href=[^>]*>.*?</a>)"), 1)
+    a = pages.select(F.explode(found).alias("a"))
+    href = F.regexp_extract("a", r"(?i)href\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    return a.select(href.alias("href"), F.trim(F.regexp_replace(F.regexp_replace("a", "<[^>]*>", " "), r"\s+", " ")).alias("text")).where("href <> ''").distinct()
