@@ -192,7 +192,7 @@ def token_overlap(spark: SparkSession, d: str) -> DataFrame:
     return rank.top_per_key(pairs.select("doc_id", "item_id", "overlap"), ["doc_id"], [F.desc("overlap"), "item_id"], 3)
 
 
-@query("SELECT page_id, 'daily:' || sha256(url) AS id, ('0x' || substr(sha256('a:' || page_id), 1, 16))::UBIGINT & 9223372036854775807 AS priority FROM pages")
+@query("SELECT page_id, 'daily:' || sha256(url) AS id, (('0x' || substr(sha256('a:' || page_id), 1, 16))::UBIGINT & 9223372036854775807)::BIGINT AS priority FROM pages")
 def stable_ids(spark: SparkSession, d: str) -> DataFrame:
     return _t(spark, d, "pages").select("page_id", text.stable_id(F.lit("daily"), F.col("url")).alias("id"), text.hash_number(F.lit("a"), F.col("page_id")).alias("priority"))
 
