@@ -15,7 +15,6 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from tidemark.llm import vectors as vs
 from tidemark.llm.common import checkpointed
 
 K, BRANCH, LEAF, PROBES, TARGET = 10, 8, 512, 400, 0.95
+BLOCK_BYTES = 4 << 20  # query vectors, as doubles, that a task holds
 LEAST_SAMPLE = 8  # sample vectors of a node that is split
 
 
@@ -130,23 +130,37 @@ def approximate_topk(df: DataFrame, k: int = K, id_col: str = "vec_id", vec_col:
 
     index = checkpointed(rows.mapInArrow(assign, "id long, vec binary, cell int, r double"))
     sizes = {r["cell"]: r["n"] for r in index.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    index = vs.with_blocks(index, sizes)
+    index = vs.merged_blocks(index, sizes, max(1, BLOCK_BYTES // (8 * dims)))
     most = calibrate(index, tree, k, target, probes, dims, kind)
 
-    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.frombuffer(b"".join(pdf["vec"]), kind).reshape(-1, dims).astype(np.float64)
-        v = tree.visits(x, most)
-        turn = np.full(tree.leaves, most, np.int64)
-        for t in range(most - 1, -1, -1):
-            turn[v[v[:, t] >= 0, t]] = t
-        cell = np.flatnonzero(turn < most)
-        return pd.DataFrame({"block": pdf["block"].iloc[0], "cell": cell, "turn": turn[cell] * tree.leaves + cell, "least": 0.0, "most": 0.0})
+    def travel(batches):
+        for batch in batches:
+            out = []
+            for lo in range(0, batch.num_rows, 1024):
+                v = tree.visits(vs.matrix(batch.column(1).slice(lo, 1024), dims, kind), most)
+                out += [row.tobytes() for row in v]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "extra"])
+
+    # every query's leaves in order, found once; a block pulls those that one of its queries visits
+    index = checkpointed(index.select("id", "vec", "cell", "r", "block").repartition(max(1, -(-n // 4096)), "id").mapInArrow(travel, "id long, vec binary, cell int, r double, block long, extra binary"))
 
-    needs = checkpointed(index.groupBy("block").applyInPandas(plan, "block long, cell int, turn int, least double, most double"))
+    def leaves(batches):
+        for batch in batches:
+            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int32).reshape(-1, most)
+            block = np.repeat(batch.column(0).to_numpy(), most).reshape(-1, most)
+            turn = np.broadcast_to(np.arange(most), v.shape)
+            ok = v >= 0
+            key = np.unique(np.stack([block[ok], v[ok], turn[ok]], 1), axis=0)
+            keep = np.ones(len(key), bool)
+            keep[1:] = (key[1:, :2] != key[:-1, :2]).any(1)
+            yield pa.RecordBatch.from_arrays([pa.array(key[keep, 0]), pa.array(key[keep, 1].astype(np.int32)), pa.array(key[keep, 2])], ["block", "cell", "turn"])
+
+    needs = index.select("block", "extra").mapInArrow(leaves, "block long, cell int, turn long").groupBy("block", "cell").agg(F.min("turn").alias("turn"))
+    needs = needs.select("block", "cell", (F.col("turn") * tree.leaves + F.col("cell")).alias("turn"), F.lit(0.0).alias("least"), F.lit(0.0).alias("most"))
 
     def prepare(s: vs.Search):
         seen = np.zeros((len(s.q), tree.leaves + 1), bool)
-        np.put_along_axis(seen, tree.visits(s.q, most).astype(np.int64), True, axis=1)
+        np.put_along_axis(seen, np.frombuffer(b"".join(s.extra), np.int32).reshape(-1, most).astype(np.int64), True, axis=1)
         return seen
 
     def wanted(s: vs.Search, seen: np.ndarray, at: int, lo: float, hi: float) -> np.ndarray:

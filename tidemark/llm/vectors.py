@@ -87,12 +87,14 @@ class Search:
         self.block, self.k = block, k
         self.ids: list[np.ndarray] = []
         self.vecs: list[np.ndarray] = []
+        self.extra: list[bytes | None] = []
         self.q: np.ndarray | None = None
 
     def start(self) -> None:
         self.qid, self.q = np.concatenate(self.ids), np.concatenate(self.vecs)
-        self.tau = np.full(len(self.qid), np.inf)
-        self.who, self.found, self.dist = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        n = len(self.qid)
+        self.found, self.dist = np.zeros((n, self.k), np.int64), np.full((n, self.k), np.inf)
+        self.tau = np.full(n, np.inf)
 
     def compare(self, which: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
         for lo in range(0, len(which), CHUNK):
@@ -101,7 +103,7 @@ class Search:
     def _compare(self, which: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
         d = squared(self.q[which], x)
         limit = self.tau[which] ** 2
-        if len(ids) > self.k:  # one more than k, for the query itself
+        if len(ids) > self.k and np.isinf(limit).any():  # one more than k, for the query itself
             limit = np.minimum(limit, np.partition(d, self.k, axis=1)[:, self.k])
         scale = (self.q[which] ** 2).sum(1) + (x * x).sum(1).max(initial=0)
         a, b = np.nonzero(d <= (limit + 1e-12 * scale)[:, None])
@@ -110,25 +112,26 @@ class Search:
         if not len(a):
             return
         exact = np.concatenate([distance(self.q[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, len(a), 65536)])
-        who, found, dist = np.concatenate([self.who, a]), np.concatenate([self.found, ids[b]]), np.concatenate([self.dist, exact])
+        rows = np.unique(a)
+        who = np.concatenate([np.repeat(rows, self.k), a])
+        found, dist = np.concatenate([self.found[rows].ravel(), ids[b]]), np.concatenate([self.dist[rows].ravel(), exact])
         order = np.lexsort((found, dist, who))
         who, found, dist = who[order], found[order], dist[order]
-        first = np.searchsorted(who, who)
-        rank = np.arange(len(who)) - first
-        last = rank == self.k - 1
-        self.tau[who[last]] = dist[last]
+        rank = np.arange(len(who)) - np.searchsorted(who, who)
         keep = rank < self.k
-        self.who, self.found, self.dist = who[keep], found[keep], dist[keep]
+        self.found[who[keep], rank[keep]] = found[keep]
+        self.dist[who[keep], rank[keep]] = dist[keep]
+        self.tau[rows] = self.dist[rows, -1]
 
     def result(self) -> pa.RecordBatch:
         if self.q is None:
             self.start()
-        rank = np.arange(len(self.who)) - np.searchsorted(self.who, self.who) + 1
-        return pa.RecordBatch.from_arrays([pa.array(self.qid[self.who]), pa.array(rank.astype(np.int32)), pa.array(self.found), pa.array(self.dist)], ["id", "rank", "neighbor", "distance"])
+        who, rank = np.nonzero(np.isfinite(self.dist))
+        return pa.RecordBatch.from_arrays([pa.array(self.qid[who]), pa.array((rank + 1).astype(np.int32)), pa.array(self.found[who, rank]), pa.array(self.dist[who, rank])], ["id", "rank", "neighbor", "distance"])
 
 
 def block_search(dims: int, kind: str, k: int, prepare: Callable, wanted: Callable):
-    """Rows (block, turn, cell, r, id, vec) sorted by block, turn and r; turn -1 has the queries.
+    """Rows (block, turn, cell, r, id, vec, extra) sorted by block, turn and r; turn -1 has the queries.
     prepare(search) -> anything; wanted(search, that, cell, least r, largest r) -> queries to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,6 +151,7 @@ def block_search(dims: int, kind: str, k: int, prepare: Callable, wanted: Callab
                 if turn[a] < 0:
                     now.ids.append(ids[a:z])
                     now.vecs.append(x[a:z])
+                    now.extra += batch.column(6).slice(a, z - a).to_pylist()
                     continue
                 if now.q is None:
                     now.start()
@@ -164,9 +168,11 @@ def block_search(dims: int, kind: str, k: int, prepare: Callable, wanted: Callab
 
 
 def searched(index: DataFrame, plan: DataFrame, run: Callable) -> DataFrame:
-    """index: (id, vec, cell, r, block); plan: (block, cell, turn, least, most), the vectors that blocks pull."""
-    own = index.select("block", F.lit(-1).alias("turn"), "cell", "r", "id", "vec")
-    pulled = plan.join(index.drop("block"), "cell").where("r BETWEEN least AND most").select("block", "turn", "cell", "r", "id", "vec")
+    """index: (id, vec, cell, r, block, and extra bytes for its own queries); plan: (block, cell, turn, least,
+    most), the vectors that blocks pull."""
+    extra = F.col("extra") if "extra" in index.columns else F.lit(None).cast("binary").alias("extra")
+    own = index.select("block", F.lit(-1).alias("turn"), "cell", "r", "id", "vec", extra)
+    pulled = plan.join(index.select("id", "vec", "cell", "r"), "cell").where("r BETWEEN least AND most").select("block", "turn", "cell", "r", "id", "vec", F.lit(None).cast("binary").alias("extra"))
     rows = own.unionByName(pulled).repartition("block").sortWithinPartitions("block", "turn", "r")
     return rows.mapInArrow(run, "id long, rank int, neighbor long, distance double")
 
@@ -176,3 +182,17 @@ def with_blocks(cells: DataFrame, sizes: dict[int, int]) -> DataFrame:
     spark = cells.sparkSession
     table = spark.createDataFrame([(c, -(-n // BLOCK)) for c, n in sizes.items()], "cell int, parts int")
     return cells.join(F.broadcast(table), "cell").withColumn("block", F.col("cell").cast("long") * (1 << 24) + F.expr("pmod(xxhash64(id), parts)")).drop("parts")
+
+
+def merged_blocks(cells: DataFrame, sizes: dict[int, int], most: int) -> DataFrame:
+    """Add block to (id, vec, cell, r): neighbouring cells together up to `most` rows, larger cells in parts by
+    hash.  What is pulled grows with the number of blocks, so they are as large as a task's memory allows."""
+    table, block, held = [], 0, 0
+    for c in sorted(sizes):
+        if held and held + sizes[c] > most:
+            block, held = block + 1, 0
+        parts = -(-sizes[c] // most)
+        table.append((c, block, parts))
+        block, held = (block + parts, 0) if parts > 1 else (block, held + sizes[c])
+    known = cells.sparkSession.createDataFrame(table, "cell int, base long, parts int")
+    return cells.join(F.broadcast(known), "cell").withColumn("block", F.col("base") + F.expr("pmod(xxhash64(id), parts)")).drop("base", "parts")
