@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_FILLERS = "a an and are as at by for from in of on the to with"
+_FILLERS = frozenset("the with to on of in from for by at as and an a".split())
 #: Stop lists differ by measure; a caller picks one.
 STOP_WORDS = {
-    "short": frozenset(_FILLERS.split()),
-    "capture": frozenset(f"{_FILLERS} is".split() + ["after"]),
-    "long": frozenset(f"{_FILLERS} is was were be been after over its it that this new says say".split()),
+    "short": _FILLERS,
+    "capture": _FILLERS | {"s", "after"},
+    "long": _FILLERS | frozenset("were was will have has is be are its it this that s or".split()),
 }
 
 

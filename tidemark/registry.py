@@ -37,7 +37,8 @@ def _day(column: str) -> Column:
 
 _HOST = r"regexp_replace(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '^www\.', '')"
 _PATH = r"regexp_replace(regexp_extract(url, '^https?://[^/?#]+(/[^?#]*)?', 1), '(?i)(\.html?)?/*$', '')"
-_WORDS = "list_filter(list_distinct(regexp_extract_all(lower({}), '[a-z0-9]+')), lambda x: NOT list_contains(['a','an','and','are','as','at','by','for','from','in','of','on','the','to','with'], x))"
+_STOP = ",".join(f"'{w}'" for w in sorted(text.STOP_WORDS["short"]))
+_WORDS = f"list_filter(list_distinct(regexp_extract_all(lower({{}}), '[a-z0-9]+')), lambda x: NOT list_contains([{_STOP}], x))"
 
 
 # ---- manifests ----
