@@ -12,16 +12,17 @@ so that every text has a score.  Forward runs over the distinct words of a batch
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit as tk
+from tidemark.llm.common import sized
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE, ROUNDS, SMOOTH = 1000, 4, 0.05
@@ -204,47 +205,56 @@ class Model:
     pieces: list[bytes]
     p: np.ndarray  # pieces x languages
 
+    def name(self) -> bytes:
+        return hashlib.blake2b(b"\0".join(self.pieces) + self.p.tobytes()).digest()
+
+
+#: The tables of the model in use; a Python worker keeps them from task to task.
+_TABLES: dict[bytes, tuple[Pieces, np.ndarray]] = {}
+
+
+def _tables(name: bytes, model: Model) -> tuple[Pieces, np.ndarray]:
+    if name not in _TABLES:
+        known = Pieces(model.pieces)
+        _TABLES.clear()
+        _TABLES[name] = known, model.p * (SCALE**known.sizes)[:, None]
+    return _TABLES[name]
+
 
 def train(docs: DataFrame, vocabulary: str = VOCABULARY, sample: int = SAMPLE, rounds: int = ROUNDS, smooth: float = SMOOTH, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fitted to rows with a language and a text; each language in a task of its own."""
     pieces = load(vocabulary)
     lang, key = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{id_col}`").cast("long")
     own = docs.select(key.alias("id"), lang.alias("lang")).where("id IS NOT NULL AND lang IS NOT NULL AND lang <> ''")
-    languages = sorted(r["lang"] for r in own.select("lang").distinct().collect())
-    if not languages:
-        return Model([], pieces, np.zeros((len(pieces), 0)))
-    chosen = None
-    for x in languages:
-        part = own.where(F.col("lang") == x).orderBy(F.xxhash64("id"), "id").limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    rows = docs.select(key.alias("id"), lang.alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text IS NOT NULL").join(F.broadcast(chosen.distinct()), ["id", "lang"])
+    # each partition keeps its first `sample` rows of a language before the shuffle (WindowGroupLimit)
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    chosen = own.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample).select("id", "lang").distinct()
+    rows = docs.select(key.alias("id"), lang.alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text IS NOT NULL").join(sized(chosen), ["id", "lang"])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["id", "text"])
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "p": [fit(Pieces(pieces), pa.array(pdf["text"], pa.string()), rounds, smooth)]})
 
     found = {r["lang"]: r["p"] for r in rows.groupBy("lang").applyInPandas(run, "lang string, p array<double>").collect()}
-    languages = [x for x in languages if x in found]
+    languages = sorted(found)
     return Model(languages, pieces, np.array([found[x] for x in languages]).T.reshape(len(pieces), len(languages)))
 
 
 def identify(model: Model, text: Column) -> Column:
     """struct(language, margin) of a text: the likeliest language and its lead over the next, in nats a word.
     Null texts, texts without words and models without languages give 'und' and 0; ties go to the first by name."""
-    cache: list = []
+    name = model.name()
 
     @F.arrow_udf("struct<language string, margin double>")
     def judge(texts: pa.Array) -> pa.Array:
-        if not cache:
-            known = Pieces(model.pieces)
-            cache.extend([known, model.p * (SCALE**known.sizes)[:, None]])
+        tables = _tables(name, model)
         names, margins = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
         for at, part in tk.chunked(texts, BATCH_BYTES) if model.languages else ():
             w = tk.words_of(part)
             if not len(w.hash):
                 continue
             _, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
-            logs = word_logs(*cache, w.data, w.start[first], w.end[first])
+            logs = word_logs(*tables, w.data, w.start[first], w.end[first])
             total = np.stack([np.bincount(w.doc, weights=logs[back, x], minlength=len(part)) for x in range(len(model.languages))], 1)
             best = np.argmax(total, 1)
             ranked = np.sort(total, 1)
