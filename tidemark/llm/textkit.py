@@ -83,6 +83,33 @@ def chunked(column: pa.Array | pa.ChunkedArray, max_bytes: int = CHUNK_BYTES) ->
         at = to
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans, all of at least one byte; about CHUNK_BYTES are in work at once, so that a
+    very long text costs no more memory than a short one."""
+    lens = end - start
+    out = np.empty(len(start), U64)
+    total = np.cumsum(lens)
+    power = powers(_MULT, int(min(CHUNK_BYTES, lens.max(initial=1))))
+    at = 0
+    while at < len(start):
+        to = max(at + 1, int(np.searchsorted(total, total[at] - lens[at] + CHUNK_BYTES, side="right")))
+        n = lens[at:to]
+        if to == at + 1 and n[0] > CHUNK_BYTES:
+            h, shift = U64(0), U64(1)
+            for lo in range(int(start[at]), int(end[at]), CHUNK_BYTES):
+                piece = _BYTE_CODE[data[lo : min(lo + CHUNK_BYTES, int(end[at]))]]
+                with np.errstate(over="ignore"):
+                    h = h + np.add.reduce(piece * power[: len(piece)]) * shift
+                    shift = shift * power[-1] * _MULT
+            out[at] = h
+        else:
+            head = np.cumsum(n) - n
+            place = np.arange(int(n.sum())) - np.repeat(head, n)
+            out[at:to] = np.add.reduceat(_BYTE_CODE[data[place + np.repeat(start[at:to], n)]] * power[place], head)
+        at = to
+    return mix64(out ^ lens.astype(U64))
+
+
 def words_of(texts: pa.Array, lower: bool = True) -> Words:
     arr = pc.utf8_lower(texts) if lower else texts
     off, data = _buffers(arr)
@@ -104,11 +131,7 @@ def words_of(texts: pa.Array, lower: bool = True) -> Words:
     doc = np.repeat(np.arange(n), np.diff(first))
     if not len(start):
         return Words(n, doc, start, end, np.zeros(0, U64), first, data)
-    lens = end - start
-    place = np.arange(int(lens.sum())) - np.repeat(np.cumsum(lens) - lens, lens)
-    value = _BYTE_CODE[data[inside]] * powers(_MULT, int(lens.max()))[place]
-    h = np.add.reduceat(value, np.cumsum(lens) - lens)
-    return Words(n, doc, start, end, mix64(h ^ lens.astype(U64)), first, data)
+    return Words(n, doc, start, end, span_hashes(data, start, end), first, data)
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
@@ -165,32 +188,13 @@ def lines_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     outer = np.ones(len(doc), bool)
     outer[head + counts - 1] = False
     end[outer] = breaks
-    lens = end - start
-    out = np.zeros(len(doc), U64)
+    # the solid bytes at the ends of each line: blanks around them don't count
+    solid = np.flatnonzero((data > 32) & (data != 127))
+    lo, hi = np.searchsorted(solid, start), np.searchsorted(solid, end)
+    full = np.flatnonzero(hi > lo)
+    a, b = solid[lo[full]], solid[hi[full] - 1] + 1
     size = np.zeros(len(doc), np.int64)
-    if lens.sum():
-        keep = ~is_break
-        flat = data[keep]
-        solid = (flat > 32) & (flat != 127)
-        # bytes of blanks at the ends: before the first and after the last solid byte of the line
-        ordinal = np.repeat(np.arange(len(doc)), lens)
-        hits = np.flatnonzero(solid)
-        owner = ordinal[hits]
-        lo = np.searchsorted(owner, np.arange(len(doc)), side="left")
-        hi = np.searchsorted(owner, np.arange(len(doc)), side="right")
-        full = hi > lo
-        a, b = hits[lo[full]], hits[hi[full] - 1] + 1
-        size[full] = b - a
-        place = np.arange(len(flat)) - np.repeat(np.where(full, 0, 0), lens)
-        base = np.zeros(len(doc), np.int64)
-        base[full] = a
-        limit = np.zeros(len(doc), np.int64)
-        limit[full] = b
-        place = place - np.repeat(base, lens)
-        inside = (place >= 0) & (np.arange(len(flat)) < np.repeat(limit, lens))
-        place = place[inside]
-        value = _BYTE_CODE[flat[inside]] * powers(_MULT, int(size.max(initial=0)) + 1)[place]
-        which = np.flatnonzero(full)
-        heads = np.cumsum(size[which]) - size[which]
-        out[which] = mix64(np.add.reduceat(value, heads) ^ size[which].astype(U64))
+    size[full] = b - a
+    out = np.zeros(len(doc), U64)
+    out[full] = span_hashes(data, a, b)
     return doc, number, size, out
