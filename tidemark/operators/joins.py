@@ -24,12 +24,26 @@ def title_match(left: DataFrame, right: DataFrame, days: int = 2, least: float =
     need = F.size("ta") - F.ceil(F.size("ta") * least) + 1
     rare = pool.groupBy("a", "day_a", "ta").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("x"))
     rare = rare.select("a", "day_a", "ta", F.explode(F.slice("x", F.lit(1), need.cast("int"))).alias("x")).select("a", "day_a", "ta", "x.t")
-    pairs = rare.join(b.select("b", "day_b", "tb", F.explode("tb").alias("t")), "t").where((F.abs(F.datediff("day_a", "day_b")) <= days) & (F.year("day_a") == F.year("day_b")))
+    # the days around a title are join keys too, so that a common token doesn't pair all times
+    near = rare.withColumn("day_b", F.explode(F.sequence(F.date_sub("day_a", days), F.date_add("day_a", days)))).where(F.year("day_a") == F.year("day_b"))
+    pairs = near.join(b.select("b", "day_b", "tb", F.explode("tb").alias("t")), ["t", "day_b"])
     share = text.overlap(F.col("ta"), F.col("tb"), "greatest")
     pairs = pairs.withColumn("overlap", share).where((F.col("overlap") >= least) & (text.shared(F.col("ta"), F.col("tb")) >= least_shared)).select("a", "b", "overlap", F.abs(F.datediff("day_a", "day_b")).alias("apart")).distinct()
     return top_per_key(pairs, ["a"], [F.desc("overlap"), "apart", "b"], keep)
 
 
+def token_pairs(left: DataFrame, right: DataFrame, least: float, over: str = "least") -> DataFrame:
+    """(a, b, overlap) of (id, tokens): every pair whose overlap is at least `least`, which is above 0.
+
+    Shared tokens are counted by a join on the token, whose counts are summed before the shuffle; no pair's
+    sets are compared, and Spark broadcasts the right side only if its size allows."""
+    a = left.select(F.col("id").alias("a"), F.size("tokens").alias("na"), F.explode("tokens").alias("t"))
+    b = right.select(F.col("id").alias("b"), F.size("tokens").alias("nb"), F.explode("tokens").alias("t"))
+    base = {"least": F.least("na", "nb"), "greatest": F.greatest("na", "nb"), "first": F.col("na")}[over]
+    pairs = a.join(b, "t").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("n")).withColumn("overlap", F.col("n") / base)
+    return pairs.where(F.col("overlap") >= least).select("a", "b", "overlap")
+
+
 def asof(left: DataFrame, right: DataFrame, key: str, at: str, within: int) -> DataFrame:
     """For each left row (id, key, at) the latest right row (ref, key, at) not after it and within so many days.
 

@@ -186,11 +186,9 @@ p AS (SELECT doc_id, item_id, len(list_intersect(ta, tb)) / CASE WHEN least(len(
 SELECT doc_id, item_id, overlap FROM p WHERE overlap >= 0.35 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, item_id) <= 3
 """)
 def token_overlap(spark: SparkSession, d: str) -> DataFrame:
-    a = _t(spark, d, "documents").select("doc_id", text.tokens(F.col("text")).alias("ta"))
-    b = _t(spark, d, "benchmark").select("item_id", text.tokens(F.col("text")).alias("tb"))
-    # a benchmark grows with its authors, not with the corpus; Spark still checks its size before it broadcasts
-    pairs = a.crossJoin(b).withColumn("overlap", text.overlap(F.col("ta"), F.col("tb"))).where("overlap >= 0.35")
-    return rank.top_per_key(pairs.select("doc_id", "item_id", "overlap"), ["doc_id"], [F.desc("overlap"), "item_id"], 3)
+    a = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), text.tokens(F.col("text")).alias("tokens"))
+    b = _t(spark, d, "benchmark").select(F.col("item_id").alias("id"), text.tokens(F.col("text")).alias("tokens"))
+    return rank.top_per_key(joins.token_pairs(a, b, 0.35).toDF("doc_id", "item_id", "overlap"), ["doc_id"], [F.desc("overlap"), "item_id"], 3)
 
 
 @query("SELECT page_id, 'daily:' || sha256(url) AS id, (('0x' || substr(sha256('a:' || page_id), 1, 16))::UBIGINT & 9223372036854775807)::BIGINT AS priority FROM pages")
