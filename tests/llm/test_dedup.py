@@ -112,6 +112,40 @@ def test_lines_are_cut_from_the_later_document(spark):
     assert got == want and 60 not in got and any(cut.values())
 
 
+def shared_runs(data, least=line_dedup.LEAST_BLOCK):
+    """Lines in a run of `least` bytes that an earlier text has too, over all pairs of texts."""
+    seq = {i: [x.strip() for x in t.split("\n")] for i, t in data}
+    cut = {i: set() for i in seq}
+    for b, a in itertools.product(seq, seq):
+        for i, j in itertools.product(range(len(seq[b])), range(len(seq[a]))) if a < b else ():
+            n = 0
+            while i + n < len(seq[b]) and j + n < len(seq[a]) and seq[b][i + n] == seq[a][j + n]:
+                n += 1
+            if sum(len(x.encode()) for x in seq[b][i : i + n]) >= least:
+                cut[b].update(range(i, i + n))
+    return cut
+
+
+def test_every_earlier_holder_of_a_block_counts(spark):
+    p, q = "p" * 30, "q" * 30
+    data = [(0, f"{p}\n{q}")] + [(i, f"{q}\n{p}\nown {i}") for i in range(1, 13)]
+    r = random.Random(8)
+    pool = [words(r.randrange(1, 12), i) for i in range(30)] + ["", "é" * 20]
+    for i in range(13, 80):
+        at = r.randrange(30)
+        lines = pool[at : at + r.randrange(1, 9)] + r.choices(pool, k=r.randrange(4))
+        if r.random() < 0.4:
+            r.shuffle(lines)
+        data.append((i, "\n".join(lines)))
+    want = shared_runs(data)
+    seq = {i: [x.strip() for x in t.split("\n")] for i, t in data}
+    for b, a in itertools.combinations(sorted(seq, reverse=True), 2):
+        assert want[b].issuperset(line_dedup.deletable(seq[b], [len(x.encode()) for x in seq[b]], seq[a], line_dedup.LEAST_BLOCK))
+    got = {x.id: set(x.cut) for x in line_dedup.deleted_lines(docs(spark, data), whole=True).collect()}
+    assert got == {i: c for i, c in want.items() if c}
+    assert all(got[i] == {0, 1} for i in range(2, 13)) and 1 not in got
+
+
 @pytest.mark.parametrize(("a", "b", "want"), [("abc", "abc", 3), ("abcd", "xbcy", 2), ("aXbYc", "aZbWc", 3), ("aab", "baa", 1), ("", "a", 0), ("ab", "ba", 1)])
 def test_patience(a, b, want):
     got = line_dedup.patience(list(a), list(b))

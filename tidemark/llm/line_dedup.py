@@ -11,6 +11,10 @@
    between are aligned in turn.
 4. Matched lines that are consecutive in both texts form blocks.  Blocks of at least
    LEAST_BLOCK bytes are deleted from the later text.  The first holder of a line keeps it.
+5. With whole=True what the pairs of step 2 leave is found too: each run of consecutive lines,
+   of any length, that just reaches LEAST_BLOCK bytes is keyed by its hash and deleted from all
+   documents but the first that holds it.  A block that alignment with any earlier document
+   finds is a union of such runs, so every earlier holder counts, at a cost linear in the lines.
 """
 
 from __future__ import annotations
@@ -110,8 +114,43 @@ def _align(least_block: int):
     return run
 
 
-def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, least_line: int = LEAST_LINE, least_block: int = LEAST_BLOCK) -> DataFrame:
-    """(id, cut): the sorted numbers, from 0, of the lines to delete from each text that has any."""
+def run_rows(least_block: int):
+    """Sequences -> (key, id, start, stop): the runs of lines that reach least_block bytes and are minimal
+    from their first line on or up to their last one."""
+    inverse = np.uint64(pow(int(tk._MULT), -1, 1 << 64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                lines = part.column(1).value_lengths().to_numpy()
+                n = int(lines.sum())
+                if not n:
+                    continue
+                size = np.concatenate([[0], np.cumsum(part.column(2).flatten().to_numpy(), dtype=np.int64)])
+                h = tk.mix64(part.column(1).flatten().to_numpy().view(np.uint64) ^ tk._GRAM_MULT)
+                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * tk.powers(tk._MULT, n), dtype=np.uint64)])
+                doc = np.repeat(np.arange(len(lines)), lines)
+                end = np.cumsum(lines)
+                at = np.arange(n)
+                stop = np.searchsorted(size, size[:-1] + least_block)
+                start = np.searchsorted(size, size[1:] - least_block, side="right") - 1
+                ahead = stop <= end[doc]
+                # a run that is minimal both ways counts once
+                back = start >= (end - lines)[doc]
+                back[back] = stop[start[back]] != at[back] + 1
+                a, b = np.concatenate([at[ahead], start[back]]), np.concatenate([stop[ahead], at[back] + 1])
+                key = tk.mix64((sums[b] - sums[a]) * tk.powers(inverse, n)[a] ^ (b - a).astype(np.uint64))
+                d = np.concatenate([doc[ahead], doc[back]])
+                head = (end - lines)[d]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part.column(0).take(pa.array(d)), pa.array((a - head).astype(np.int32)), pa.array((b - head).astype(np.int32))], ["key", "id", "start", "stop"])
+
+    return run
+
+
+def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rare: int = RARE, least_line: int = LEAST_LINE, least_block: int = LEAST_BLOCK, whole: bool = False) -> DataFrame:
+    """(id, cut): the sorted numbers, from 0, of the lines to delete from each text that has any.  whole: every
+    block that any earlier document holds, else those that alignment with the paired documents finds."""
     k, text = keyed(docs, id_col, text_col)
     seq = docs.select(k.alias("id"), text.alias("text")).where("id IS NOT NULL AND text <> ''").mapInArrow(line_sequences, "id long, hashes array<long>, sizes array<int>")
     seq = checkpointed(seq)
@@ -124,6 +163,10 @@ def deleted_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     two = seq.select(F.col("id").alias("earlier"), F.col("hashes").alias("b"))
     both = pairs.join(one, "id").join(two, "earlier").select("id", "a", "s", "b")
     cut = both.mapInArrow(_align(least_block), "id long, cut array<int>")
+    if whole:
+        runs = seq.mapInArrow(run_rows(least_block), "key long, id long, start int, stop int")
+        runs = runs.withColumn("lead", F.first("id").over(Window.partitionBy("key").orderBy("id"))).where("id <> lead")
+        cut = cut.unionByName(runs.selectExpr("id", "sequence(start, stop - 1) AS cut"))
     return cut.groupBy("id").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("cut"))
 
 

@@ -9,7 +9,7 @@ from tidemark.llm.common import read
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(read(spark, sf_dir, "documents"))
+    return line_dedup.line_dedup(read(spark, sf_dir, "documents"), whole=True)
 
 
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
