@@ -8,6 +8,7 @@ import pyarrow as pa
 
 from tests.llm.helpers import DOCS, awkward, docs, rows, words
 from tidemark.llm import language_id, toxicity
+from tidemark.llm import textkit as tk
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -118,6 +119,48 @@ def test_language_held_out(spark):
     assert sum(got[i] == truth[i] for i in range(200, 300)) >= 98
 
 
+def test_long_words_count_in_the_fit():
+    pieces = sorted({bytes([b]) for b in b" abcd"} | {b" ab", b"cd", b"abc"})
+    known = language_id.Pieces(pieces)
+    short = ["abcdab", "ab", "cdabc"]
+    data, end = np.frombuffer("".join(short).encode(), np.uint8), np.cumsum([len(x) for x in short])
+    n = np.array([len(x) for x in short])
+    q = np.linspace(0.05, 0.3, len(pieces)) * language_id.SCALE**known.sizes
+    got = language_id.long_counts(known.edges(data, end - n, end), n + 1, q, np.array([1, 2, 3]))
+    want = np.zeros(len(pieces))
+
+    def segments(raw):
+        return [[]] if not raw else [[k, *x] for k, p in enumerate(pieces) if raw.startswith(p) for x in segments(raw[len(p) :])]
+
+    for x, times in zip(short, (1, 2, 3)):
+        ways = segments(b" " + x.encode())
+        weight = [math.prod(q[k] for k in way) for way in ways]
+        for way, v in zip(ways, weight):
+            for k in way:
+                want[k] += times * v / sum(weight)
+    assert np.allclose(got, want)
+    texts = pa.array(["ab" * 40, "abcd" * 30 + " abc", "cd" * 5000])
+    w = tk.words_of(texts)
+    last = -math.inf
+    for rounds in range(1, 5):
+        p = language_id.fit(known, texts, rounds, 1e-9)
+        now = language_id.word_logs(known, (p * language_id.SCALE**known.sizes)[:, None], w.data, w.start, w.end).sum()
+        assert np.isfinite(p).all() and now >= last - 1e-6
+        last = now
+
+
+def test_languages_whose_words_are_all_long(spark):
+    letters = {"ja": "あいうえおかきくけこさしすせそ。", "zh": "的一是在不了有和人这中大为上个，"}
+    r = random.Random(6)
+    data = []
+    for i in range(120):
+        lang = r.choice(sorted(letters))
+        data.append((i, "".join(r.choices(letters[lang], k=r.randrange(22, 300))), lang if i < 80 else None, "s"))
+    truth = {i: next(x for x in letters if t[0] in letters[x]) for i, t, _, _ in data}
+    got = {x.doc_id: x for x in language_id.languages(docs(spark, data)).collect()}
+    assert all(got[i].language == truth[i] and got[i].margin > 0 for i in range(80, 120))
+
+
 def test_language_awkward_rows(spark):
     for wide in (False, True):
         got = rows(language_id.languages(docs(spark, awkward(), wide)))

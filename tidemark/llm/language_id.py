@@ -29,7 +29,8 @@ SAMPLE, ROUNDS, SMOOTH = 1000, 4, 0.05
 LONGEST = 16  # bytes of a piece
 MARK = 0x20
 SCALE = 64.0  # probabilities are kept times SCALE per byte, so that products stay in range
-LONG_WORD = 64
+LONG_WORD = 64  # bytes from which words need rescaling
+LONG_CELLS = 1 << 19
 BATCH_BYTES = 4 << 20
 UNKNOWN = "und"
 
@@ -159,25 +160,63 @@ def word_logs(pieces: Pieces, p: np.ndarray, data: np.ndarray, start: np.ndarray
     return out
 
 
+def _sums(place: np.ndarray, other: np.ndarray, w: np.ndarray, logq: np.ndarray, steps: range, out: np.ndarray) -> None:
+    """Fill out (words x places, logarithms) step by step from the edges that end in each place."""
+    by = np.argsort(place, kind="stable")
+    cut = np.searchsorted(place[by], np.arange(out.shape[1] + 1))
+    ref = np.zeros(len(out))
+    for t in steps:
+        i = by[cut[t] : cut[t + 1]]
+        if not len(i):
+            continue
+        # a word's sum so far is its reference, so that no term leaves the range of floats
+        total = np.bincount(w[i], weights=np.exp(out[w[i], other[i]] - ref[w[i]] + logq[i]), minlength=len(out))
+        full = total > 0
+        out[full, t] = ref[full] = ref[full] + np.log(total[full])
+
+
+def long_counts(edges: tuple[np.ndarray, ...], n: np.ndarray, q: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in words of any length: forward-backward in logarithms."""
+    w, s, e, k = edges
+    with np.errstate(divide="ignore"):
+        logq = np.log(q[k])
+    longest = int(n.max())
+    alpha, beta = (np.full((len(n), longest + 1), -np.inf) for _ in range(2))
+    alpha[:, 0] = beta[np.arange(len(n)), n] = 0.0
+    _sums(e, s, w, logq, range(1, longest + 1), alpha)
+    _sums(s, e, w, logq, range(longest - 1, -1, -1), beta)
+    z = alpha[np.arange(len(n)), n]
+    i = np.flatnonzero(np.isfinite(z[w]))
+    part = np.exp(alpha[w[i], s[i]] + logq[i] + beta[w[i], e[i]] - z[w[i]]) * weight[w[i]]
+    return np.bincount(k[i], weights=part, minlength=len(q))
+
+
 def fit(pieces: Pieces, texts: pa.Array, rounds: int, smooth: float) -> np.ndarray:
     """Piece probabilities of one language, by expectation-maximisation over the distinct words."""
     data, start, end, weight = [], [], [], []
     for _, part in tk.chunked(texts, BATCH_BYTES):
         w = tk.words_of(part)
         u, first, count = np.unique(w.hash, return_index=True, return_counts=True)
-        ok = w.end[first] - w.start[first] < LONG_WORD
         base = sum(len(d) for d in data)
         data.append(w.data)
-        start.append(w.start[first][ok] + base)
-        end.append(w.end[first][ok] + base)
-        weight.append(count[ok])
+        start.append(w.start[first] + base)
+        end.append(w.end[first] + base)
+        weight.append(count)
     p = np.full((len(pieces.pieces), 1), 1.0 / len(pieces.pieces))
     scale = (SCALE**pieces.sizes)[:, None]
     if not data:
         return p[:, 0]
     buf, a, b, c = (np.concatenate(x) for x in (data, start, end, weight))
     order = np.argsort(b - a, kind="stable")
+    order, far = np.split(order, [np.searchsorted((b - a)[order], LONG_WORD)])
     groups = [order[i : i + 50_000] for i in range(0, len(order), 50_000)]
+    long = []
+    while len(far):
+        # words of similar length together, about LONG_CELLS places, at least one word
+        size = (b - a)[far]
+        m = max(1, int(np.searchsorted(size * np.arange(1, len(far) + 1), LONG_CELLS, side="right")))
+        long.append(far[:m])
+        far = far[m:]
     edges = [pieces.edges(buf, a[g], b[g]) for g in groups]
     for _ in range(rounds):
         got = np.zeros(len(p))
@@ -195,6 +234,8 @@ def fit(pieces: Pieces, texts: pa.Array, rounds: int, smooth: float) -> np.ndarr
             z = alpha[np.arange(len(g)), n, 0]
             part = alpha[w, s, 0] * q[k, 0] * beta[w, e] / z[w] * c[g][w]
             got += np.bincount(k, weights=part, minlength=len(p))
+        for g in long:  # their edges are found again each round, not kept
+            got += long_counts(pieces.edges(buf, a[g], b[g]), b[g] - a[g] + 1, (p * scale)[:, 0], c[g])
         p = ((got + smooth) / (got + smooth).sum())[:, None]
     return p[:, 0]
 
