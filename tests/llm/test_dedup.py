@@ -112,6 +112,26 @@ def test_lines_are_cut_from_the_later_document(spark):
     assert got == want and 60 not in got and any(cut.values())
 
 
+def test_the_query_deletes_repeats(spark, tmp_path):
+    from tidemark.llm import queries
+
+    data = corpus() + [(100, None), (101, "É " * 120), (102, "Ab, c! " * 70)]
+    docs(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    seen, want = set(), {}
+    for i, t in sorted(data):
+        w = tokens(t)
+        gone = set()
+        for k in range(len(w) - 49):
+            if tuple(w[k : k + 50]) in seen:
+                gone.update(range(k, k + 50))
+            seen.add(tuple(w[k : k + 50]))
+        want[i] = [x for k, x in enumerate(w) if k not in gone]
+    got = {r.doc_id: r for r in queries.QUERIES["op6_dedup"](spark, str(tmp_path)).collect()}
+    assert {i: tokens(r.text) for i, r in got.items()} == want and got[100].text is None
+    assert all(r.n_chars == len(r.text) for r in got.values() if r.text is not None)
+    assert sum(map(len, want.values())) < sum(len(tokens(t)) for _, t in data)
+
+
 def shared_runs(data, least=line_dedup.LEAST_BLOCK):
     """Lines in a run of `least` bytes that an earlier text has too, over all pairs of texts."""
     seq = {i: [x.strip() for x in t.split("\n")] for i, t in data}

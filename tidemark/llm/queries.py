@@ -32,6 +32,10 @@ def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_spans(read(spark, sf_dir, "documents"))
 
 
+def op6_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.positions(read(spark, sf_dir, "documents")).orderBy("position", "doc_id", "epoch")
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op3_tools": op3_tools,
     "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
+    "op6_dedup": op6_dedup,
     "op6_suffix": op6_suffix,
     "op7_mixing": op7_mixing,
     "op8_ann": op8_ann,

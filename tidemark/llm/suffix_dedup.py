@@ -110,6 +110,7 @@ def pair_rows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(batch.column(2).is_valid())
             ids, anchors = batch.column(0), batch.column(2)
             for at, texts in tk.chunked(batch.column(1)):
                 w, g, least = _anchors(texts, length)
@@ -166,15 +167,22 @@ def span_rows(length: int):
     return run
 
 
-def _positions(docs: DataFrame, length: int, id_col: str, text_col: str) -> DataFrame:
+def _positions(docs: DataFrame, length: int, id_col: str, text_col: str, wide: bool = False) -> DataFrame:
+    """(id, pos, later) of docs with one row per id.  wide: the texts are joined with all their columns and rows,
+    so that a later left join of docs on the id reuses that shuffle."""
     if length < SECOND:
         raise ValueError(f"length must be at least {SECOND} words")
     k, text = keyed(docs, id_col, text_col)
-    read = one_row_per_id(docs, id_col).select(k.alias("id"), text.alias("text")).where("id IS NOT NULL")
+    read = docs.select(k.alias("id"), text.alias("text")).where("id IS NOT NULL")
     first = read.mapInArrow(anchor_rows(length), "rank long, id long, pos int")
     live = first.repartition("rank").sortWithinPartitions("rank", "id", "pos").mapInArrow(repeats_of(["rank"]), "id long, pos int, later boolean")
     live = live.groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("anchors"))
-    left = read.join(live.hint("shuffle_hash"), "id").select("id", "text", "anchors")
+    if wide:
+        key, anchors, mine, body = fresh(docs, "tm_id", "tm_anchors", "tm_mine", "tm_body")
+        left = docs.join(live.toDF(key, anchors).hint("shuffle_hash"), F.col(f"`{id_col}`").cast("long") == F.col(key), "left")
+        left = left.select(k.alias(mine), text.alias(body), anchors, *[f"`{c}`" for c in docs.columns])
+    else:
+        left = read.join(live.hint("shuffle_hash"), "id").select("id", "text", "anchors")
     pairs = left.mapInArrow(pair_rows(length), "r1 long, r2 long, id long, pos int")
     return pairs.repartition("r1", "r2").sortWithinPartitions("r1", "r2", "id", "pos").mapInArrow(repeats_of(["r1", "r2"]), "id long, pos int, later boolean")
 
@@ -187,42 +195,45 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     Null, empty and shorter texts and rows without an id have no span; rows that repeat an id count as the
     one that `one_row_per_id` keeps; an empty table gives an empty result; other columns aren't read.
     """
-    hits = _positions(docs, length, id_col, text_col)
+    hits = _positions(one_row_per_id(docs, id_col), length, id_col, text_col)
     return hits.repartition("id").sortWithinPartitions("id", "pos").mapInArrow(span_rows(length), "doc_id long, start_word int, end_word int, later_words int")
 
 
 def _cut(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, found in zip(tk.as_array(batch.column(1)), batch.column(2).to_pylist()):
-                text = text.as_py()
-                if found:
-                    # lower-casing can change byte lengths, so words are found in the text as it is
-                    w = tk.words_of(pa.array([text]), lower=False)
-                    raw, parts, at = w.data.tobytes(), [], 0
-                    pos = np.array(found)
-                    _, s, e = _runs(np.zeros(len(pos), int), pos, length)
-                    for a, b in zip(s, e):
-                        parts.append(raw[at : w.start[a]])
-                        at = w.end[b - 1]
-                    text = b"".join([*parts, raw[at:]]).decode("utf-8", "replace")
-                out.append(text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["id", "text"])
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, later: pa.Array) -> pa.Array:
+        out = []
+        for text, found in zip(texts, later):
+            text = text.as_py()
+            if found.is_valid:
+                # lower-casing can change byte lengths, so words are found in the text as it is
+                w = tk.words_of(pa.array([text]), lower=False)
+                raw, parts, at = w.data.tobytes(), [], 0
+                pos = found.values.to_numpy()
+                _, s, e = _runs(np.zeros(len(pos), int), pos, length)
+                for a, b in zip(s, e):
+                    parts.append(raw[at : w.start[a]])
+                    at = w.end[b - 1]
+                text = b"".join([*parts, raw[at:]]).decode("utf-8", "replace")
+            out.append(text)
+        return pa.array(out, pa.string())
 
     return run
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs, its columns kept, without the words that `repeated_spans` counts as later; one row per id.
-    Rows without an id and texts without repeats stay as they are."""
+    Rows without an id and texts without repeats stay as they are.  n_chars, if there is such a column,
+    follows the text."""
     docs = one_row_per_id(docs, id_col)
-    later = _positions(docs, length, id_col, text_col).where("later").groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("found"))
-    k, text = keyed(docs, id_col, text_col)
-    new = docs.select(k.alias("id"), text.alias("text")).join(later.hint("shuffle_hash"), "id").select("id", "text", "found").mapInArrow(_cut(length), "id long, text string")
-    key, value = fresh(docs, "tm_id", "tm_text")
-    joined = docs.join(new.toDF(key, value), F.col(f"`{id_col}`") == F.col(key), "left")
-    return joined.select(*[(F.coalesce(F.col(value), F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`")) for c in docs.columns])
+    key, found = fresh(docs, "tm_id", "tm_found")
+    later = _positions(docs, length, id_col, text_col, wide=True).where("later").groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("found"))
+    joined = docs.join(later.toDF(key, found).hint("shuffle_hash"), F.col(f"`{id_col}`").cast("long") == F.col(key), "left")
+    text, kept = F.col(f"`{text_col}`"), F.col(found).isNull()
+    out = joined.withColumn(text_col, F.when(kept, text).otherwise(_cut(length)(text.cast("string"), F.col(found))))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(kept, F.col("n_chars")).otherwise(F.char_length(text).cast(dict(docs.dtypes)["n_chars"])))
+    return out.select(*[f"`{c}`" for c in docs.columns])
 
 
 ORACLE_SQL = r"""
