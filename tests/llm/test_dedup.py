@@ -166,6 +166,13 @@ def test_every_earlier_holder_of_a_block_counts(spark):
     assert all(got[i] == {0, 1} for i in range(2, 13)) and 1 not in got
 
 
+def test_blocks_of_short_lines_are_found(spark):
+    verse = "\n".join(f"a line of verse {k:03d}" for k in range(10))
+    data = [(i, f"own {i}\n{verse}\nend {i}") for i in range(12)] + [(12, "a line of verse 000\na line of verse 001")]
+    got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data), whole=True).collect()}
+    assert got == {0: data[0][1], 12: data[12][1]} | {i: f"own {i}\nend {i}" for i in range(1, 12)}
+
+
 @pytest.mark.parametrize(("a", "b", "want"), [("abc", "abc", 3), ("abcd", "xbcy", 2), ("aXbYc", "aZbWc", 3), ("aab", "baa", 1), ("", "a", 0), ("ab", "ba", 1)])
 def test_patience(a, b, want):
     got = line_dedup.patience(list(a), list(b))
