@@ -79,6 +79,10 @@ def test_mix_awkward(spark):
     none = spark.createDataFrame([], DOCS)
     assert rows(curriculum.positions(none)) == rows(curriculum.mix(none)) == []
     assert {(r[0], r[4]) for r in rows(curriculum.positions(docs(spark, [(1, ""), (2, None)])))} == {(1, 0), (2, 0)}
+    left_out = docs(spark, [(1, "a b", "en", "x"), (2, "c d", "en", "y"), (3, "e", "en", "z"), (None, "f", "en", "x")])
+    shares = {"x": [(0, 1.0)], "y": [(0, 0.0)]}
+    assert {(i, p) for i, _, _, _, p in rows(curriculum.positions(left_out, shares))} == {(1, 0)}
+    assert [r.doc_id for r in curriculum.mix(left_out, shares).collect()] == [1, None]
     with pytest.raises(ValueError, match="negative"):
         curriculum.plan({"a": 1}, {"a": [(0, -1.0)]})
 
@@ -147,7 +151,7 @@ def test_pipeline(spark, folder):
     assert sorted(map(str, cp.run(spark, folder).collect())) == sorted(map(str, state.collect()))
 
 
-@pytest.mark.parametrize("name", ["op2_topk", "op3_tools", "op6_suffix", "op7_mixing"])
+@pytest.mark.parametrize("name", ["op1_lines", "op2_topk", "op3_tools", "op6_suffix", "op7_mixing"])
 def test_sql(spark, name):
     import duckdb
 

@@ -82,6 +82,70 @@ def test_repeats_in_one_text_and_between_texts(spark):
         assert left[i] == [x for k, x in enumerate(w) if k not in gone]
 
 
+def stripped(text):
+    return [x.strip(" \t\r") for x in text.split("\n")]
+
+
+def patience_blocks(a, b):
+    """Matched line pairs by the textbook: recurse between the unique common lines of a longest increasing chain."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(0, 0)] + [(i + 1, j + 1) for i, j in patience_blocks(a[1:], b[1:])]
+    if a[-1] == b[-1]:
+        return patience_blocks(a[:-1], b[:-1]) + [(len(a) - 1, len(b) - 1)]
+    one = [(i, b.index(x)) for i, x in enumerate(a) if a.count(x) == 1 and b.count(x) == 1]
+    best = []
+    for i, j in one:
+        before = max((c for c in best if c[-1][1] < j), key=len, default=[])
+        best.append([*before, (i, j)])
+    chain = max(best, key=len, default=[])
+    if not chain:
+        return []
+    out, i0, j0 = [], 0, 0
+    for i, j in [*chain, (len(a), len(b))]:
+        out += [(i0 + x, j0 + y) for x, y in patience_blocks(a[i0:i], b[j0:j])]
+        out += [(i, j)] if i < len(a) else []
+        i0, j0 = i + 1, j + 1
+    return out
+
+
+def aligned_with_all(data, least=line_dedup.LEAST_BLOCK):
+    """Lines in blocks of `least` bytes that alignment with some earlier text matches, over all pairs."""
+    cut = {}
+    for (a, x), (b, y) in itertools.combinations(sorted(data), 2):
+        later, earlier = stripped(y), stripped(x)
+        block = []
+        for i, j in [*patience_blocks(later, earlier), (-5, -5)]:
+            if block and (i, j) == (block[-1][0] + 1, block[-1][1] + 1):
+                block.append((i, j))
+                continue
+            if sum(len(later[k].encode()) for k, _ in block) >= least:
+                cut.setdefault(b, set()).update(k for k, _ in block)
+            block = [(i, j)]
+    return cut
+
+
+def written(data, cut):
+    out = {}
+    for i, t in data:
+        left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in cut.get(i, ()))
+        if left.strip() or not cut.get(i):
+            out[i] = left
+    return out
+
+
+def test_no_holder_is_left_out(spark):
+    """Blocks that only documents between the first and the nearest holder share, and blocks of short lines."""
+    a, b = "a" * 29, "b" * 29
+    data = [(0, f"{a}\nx0"), (1, f"{b}\nx1"), (2, f"{a}\n{b}\nx2"), (3, f"{b}\n{a}\nx3"), (4, f"{a}\ny4\n{b}"), (5, f"z5\n{a}\n{b}")]
+    short = "\n".join(f"short {k:05d}" for k in range(20))
+    data += [(6, short), (7, short)]
+    got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data)).collect()}
+    want = written(data, aligned_with_all(data))
+    assert got == want and got[5] == "z5" and 7 not in got
+
+
 def test_lines_are_cut_from_the_later_document(spark):
     r = random.Random(4)
     pool = [words(r.randrange(2, 12), i) for i in range(60)]
@@ -93,23 +157,16 @@ def test_lines_are_cut_from_the_later_document(spark):
             r.shuffle(lines)
         data.append((i, "\n".join(lines)))
     data.append((60, max((t for _, t in data), key=len)))
-    holders = {}
-    seq = {i: [x.strip() for x in t.split("\n")] for i, t in data}
-    for i in seq:
-        for x in dict.fromkeys(seq[i]):
-            if len(x) >= line_dedup.LEAST_LINE:
-                holders.setdefault(x, []).append(i)
-    pairs = {(b, a) for v in holders.values() for k, b in enumerate(v[1:], 1) for a in ([v[0], v[k - 1]] if len(v) <= line_dedup.RARE else [v[0]])}
-    cut = {}
-    for b, a in pairs:
-        cut.setdefault(b, set()).update(line_dedup.deletable(seq[b], [len(x) for x in seq[b]], seq[a], line_dedup.LEAST_BLOCK))
-    want = {}
-    for i, t in data:
-        left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in cut.get(i, ()))
-        if left.strip() or not cut.get(i):
-            want[i] = left
+    shared, aligned = shared_runs(data), aligned_with_all(data)
+    assert any(aligned.values()) and all(shared[i] >= c for i, c in aligned.items())
     got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data)).collect()}
-    assert got == want and 60 not in got and any(cut.values())
+    assert got == written(data, shared) and 60 not in got
+
+
+def test_many_shared_lines_are_rewritten_in_linear_time(spark):
+    text = "\n".join(f"line {k} of a long shared text" for k in range(30_000))
+    data = docs(spark, [(1, text), (2, f"{text}\nown"), (3, text)])
+    assert {r.doc_id: r.text for r in line_dedup.line_dedup(data).where("doc_id > 1").collect()} == {2: "own"}
 
 
 def test_the_query_deletes_repeats(spark, tmp_path):
@@ -158,10 +215,8 @@ def test_every_earlier_holder_of_a_block_counts(spark):
             r.shuffle(lines)
         data.append((i, "\n".join(lines)))
     want = shared_runs(data)
-    seq = {i: [x.strip() for x in t.split("\n")] for i, t in data}
-    for b, a in itertools.combinations(sorted(seq, reverse=True), 2):
-        assert want[b].issuperset(line_dedup.deletable(seq[b], [len(x.encode()) for x in seq[b]], seq[a], line_dedup.LEAST_BLOCK))
-    got = {x.id: set(x.cut) for x in line_dedup.deleted_lines(docs(spark, data), whole=True).collect()}
+    assert all(want[b] >= c for b, c in aligned_with_all(data).items())
+    got = {x.id: {k for k, m in enumerate(x.mask) if m} for x in line_dedup.deleted_lines(docs(spark, data)).collect()}
     assert got == {i: c for i, c in want.items() if c}
     assert all(got[i] == {0, 1} for i in range(2, 13)) and 1 not in got
 
@@ -169,7 +224,7 @@ def test_every_earlier_holder_of_a_block_counts(spark):
 def test_blocks_of_short_lines_are_found(spark):
     verse = "\n".join(f"a line of verse {k:03d}" for k in range(10))
     data = [(i, f"own {i}\n{verse}\nend {i}") for i in range(12)] + [(12, "a line of verse 000\na line of verse 001")]
-    got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data), whole=True).collect()}
+    got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data)).collect()}
     assert got == {0: data[0][1], 12: data[12][1]} | {i: f"own {i}\nend {i}" for i in range(1, 12)}
 
 
@@ -183,18 +238,69 @@ def test_patience(a, b, want):
 @pytest.mark.parametrize("wide", [False, True])
 def test_awkward_rows(spark, wide):
     data = docs(spark, awkward(), wide)
-    assert set(rows(minhash.near_duplicates(data))) == {(7, 6)}
+    assert sorted(rows(minhash.near_duplicates(data))) == [(7, 6), (9, 9)]
     kept = minhash.drop_near_duplicates(data)
     assert kept.columns == data.columns
     ids = sorted((r.doc_id for r in kept.collect()), key=lambda x: (x is None, x))
-    assert ids == [1, 2, 3, 4, 5, 6, 8, 9, 10, None, None]
+    assert ids == [1, 2, 3, 4, 5, 6, 8, 9, 10, 10, None, None]
     spans = rows(suffix_dedup.repeated_spans(data))
     assert {(r[0], r[1], r[2]) for r in spans} == {(6, 0, 30_000), (7, 0, 30_000)} and dict((r[0], r[3]) for r in spans) == {6: 0, 7: 30_000}
     lines = line_dedup.line_dedup(data)
     assert lines.columns == data.columns
     ids = sorted((r.doc_id for r in lines.collect()), key=lambda x: (x is None, x))
-    assert ids == [1, 2, 3, 4, 5, 6, 8, 9, 10, None, None]
-    assert suffix_dedup.remove_repeats(data).columns == data.columns
+    # (9, "one") is under LEAST_BLOCK, so both rows stay, and so do both texts of id 10
+    assert ids == [1, 2, 3, 4, 5, 6, 8, 9, 9, 10, 10, None, None]
+    left = suffix_dedup.remove_repeats(data)
+    assert left.columns == data.columns and left.count() == data.count()
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 5, 20, 31, 64, 100])
+def test_prefix_doubling_of_any_length(spark, length):
+    r = random.Random(length)
+    base = words(260, 1, 9 if length < 6 else 60).split()
+    data = [(i, " ".join(base[(a := r.randrange(120)) : a + r.randrange(1, 140)] + words(r.randrange(9), i, 9999).split() + base[(b := r.randrange(200)) : b + 40])) for i in range(14)]
+    data += [(20, "a b " * 90), (21, "a b " * 70 + "c")]
+    where = {}
+    for i, w in ((i, tokens(t)) for i, t in data):
+        for k in range(len(w) - length + 1):
+            where.setdefault(tuple(w[k : k + length]), []).append((i, k))
+    covered, later = {}, {}
+    for places in (sorted(p) for p in where.values() if len(p) > 1):
+        for n, (i, k) in enumerate(places):
+            covered.setdefault(i, set()).update(range(k, k + length))
+            later.setdefault(i, set()).update(range(k, k + length) if n else ())
+    got = {}
+    for i, a, b, n in rows(suffix_dedup.repeated_spans(docs(spark, data), length)):
+        cov, m = got.get(i, (set(), 0))
+        got[i] = (cov | set(range(a, b)), m + n)
+    assert got == {i: (c, len(later[i])) for i, c in covered.items()}
+
+
+def named_docs(spark, data):
+    df = docs(spark, data)
+    return df.selectExpr("concat('doc-', lpad(doc_id, 4, '0')) AS doc_id", "text", "lang", "source", "n_chars")
+
+
+def test_ids_of_any_type(spark):
+    data = [(i, f"{t}\n{words(12, 500 + i % 7)}") for i, t in corpus(3)]
+    plain, named = docs(spark, data), named_docs(spark, data)
+    name = "doc-{:04d}".format
+    assert {(name(a), name(b)) for a, b in rows(minhash.near_duplicates(plain))} == set(rows(minhash.near_duplicates(named)))
+    assert {(name(a), *x) for a, *x in rows(suffix_dedup.repeated_spans(plain))} == set(rows(suffix_dedup.repeated_spans(named)))
+    for f in (line_dedup.line_dedup, suffix_dedup.remove_repeats, minhash.drop_near_duplicates):
+        got = f(named)
+        assert got.dtypes == named.dtypes and {(name(r.doc_id), r.text) for r in f(plain).collect()} == {(r.doc_id, r.text) for r in got.collect()}
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    one, two = words(80, 1), words(80, 2)
+    data = docs(spark, [(1, one), (1, two), (1, one), (2, f"{two} end"), (None, one)])
+    assert sorted(rows(minhash.near_duplicates(data))) == [(1, 1), (2, 1)]
+    kept = sorted((str(r.doc_id), r.text) for r in minhash.drop_near_duplicates(data).collect())
+    assert kept == sorted([("1", one), ("1", two), ("None", one)])
+    left = [(r.doc_id, r.text) for r in line_dedup.line_dedup(data).collect()]
+    assert sorted(map(str, left)) == sorted(map(str, [(1, one), (1, two), (2, f"{two} end"), (None, one)]))
+    assert suffix_dedup.remove_repeats(data).count() == 5
 
 
 def test_empty_tables(spark):

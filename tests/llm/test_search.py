@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import rows
 from tidemark.llm import kmeans_tree, pivot_index, vectors
@@ -29,22 +30,39 @@ def brute(x, k):
     return out
 
 
-@pytest.mark.parametrize("cell", [40, 10_000])
-def test_pivot_index_is_exact(spark, cell, monkeypatch):
-    monkeypatch.setattr(vectors, "BLOCK", 64)
+@pytest.mark.parametrize("pivots", [0.05, 2.0, 8.0])
+def test_pivot_index_is_exact(spark, pivots, monkeypatch):
+    monkeypatch.setattr(vectors, "LEAST_BLOCK", 40)
     x, df = table(spark)
-    assert {(i, r, j) for i, r, j, _ in rows(pivot_index.exact_topk(df, 5, cell=cell))} == brute(x, 5)
+    assert {(i, r, j) for i, r, j, _ in rows(pivot_index.exact_topk(df, 5, pivots=pivots))} == brute(x, 5)
+    some = {(i, r, j) for i, r, j, _ in rows(pivot_index.exact_topk(df, 5, pivots=pivots, queries=F.expr("vec_id % 50 = 0")))}
+    assert some == {t for t in brute(x, 5) if t[0] % 50 == 0}
 
 
-def test_tree_recall(spark):
-    x, df = table(spark, 1500)
-    got = {(i, j) for i, _, j, _ in rows(kmeans_tree.approximate_topk(df, 5, leaf=64, probes=200))}
-    want = {(i, j) for i, _, j in brute(x, 5)}
-    assert len(got & want) >= 0.9 * len(want)
-    tree = kmeans_tree.Tree(x.astype(float), len(x), 64)
+@pytest.mark.parametrize("asked", [None, "vec_id % 50 = 0"])
+def test_tree_recall(spark, asked):
+    x, df = table(spark, 3000)
+    got = {(i, j) for i, _, j, _ in rows(kmeans_tree.approximate_topk(df, 5, leaf=64, probes=200, queries=asked and F.expr(asked)))}
+    want = {(i, j) for i, _, j in brute(x, 5) if not asked or i % 50 == 0}
+    assert len(got & want) >= 0.9 * len(want) and {i for i, _ in got} == {i for i, _ in want}
+
+
+def test_tree_visits_every_leaf_once_nearest_first():
+    x = np.random.default_rng(3).normal(size=(1500, 8))
+    tree = vectors.Tree(x, len(x), 64)
     assert tree.leaves > 10
-    visits = tree.visits(x[:50].astype(float), tree.leaves)
+    visits = tree.visits(x[:50], tree.leaves)
     assert (np.sort(visits, 1) == np.arange(tree.leaves)).all()
+    assert (tree.visits(x[:50], 3) == visits[:, :3]).all() and (tree.leaf_centres().shape == (tree.leaves, 8))
+
+
+def test_ids_of_any_type_and_shared_ids(spark):
+    x, df = table(spark, 120)
+    named = df.selectExpr("concat('v', lpad(vec_id, 3, '0')) AS vec_id", "embedding", "label")
+    got = {(int(i[1:]), r, int(j[1:])) for i, r, j, _ in rows(pivot_index.exact_topk(named, 3))}
+    assert got == brute(x, 3)
+    shared = spark.createDataFrame([(1, [0.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [0.0, 3.0], 0)], SCHEMA)
+    assert sorted(rows(pivot_index.exact_topk(shared, 1))) == [(1, 1, 1, 1.0), (1, 1, 1, 1.0), (2, 1, 1, 2.0)]
 
 
 @pytest.mark.parametrize("search", [pivot_index.exact_topk, kmeans_tree.approximate_topk])

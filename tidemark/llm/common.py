@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +13,15 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def shared_checkpoints(spark: SparkSession) -> str:
-    """Set the checkpoint folder from spark.checkpoint.dir, which all executors of a
-    cluster share; only where that is unset (tests on one machine) a temporary folder."""
+    """Set the checkpoint folder from spark.checkpoint.dir, which all executors of a cluster share.
+    Where that is unset a session on one machine gets a temporary folder; any other is refused,
+    because its executors would write to disks that nobody else can read."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemark-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tidemark-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -38,9 +43,9 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Column, Column]:
-    """(id as long, text with null as empty): the inputs that every document operator reads."""
-    return F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+def text_of(text_col: str) -> Column:
+    """The text with null as empty: what every document operator reads."""
+    return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,22 +61,48 @@ def sized(keys: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
     return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else keys
 
 
-def one_row_per_id(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Of rows that repeat an id, one stays: the least by the hash of the whole row.
-    Rows without an id all stay.  Costs a count over the id column; the texts are
-    shuffled only where an id does repeat."""
-    ids = docs.select(F.col(f"`{id_col}`").alias("k")).where("k IS NOT NULL").groupBy("k").count().where("count > 1").select("k")
-    if ids.isEmpty():
-        return docs
-    key, order, place = fresh(docs, "tm_key", "tm_order", "tm_place")
-    repeated = ids.withColumnRenamed("k", key)
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(f"`{id_col}`").orderBy(order)
-    same = F.col(f"`{id_col}`") == F.col(key)
-    few = docs.join(repeated, same, "left_semi").withColumn(order, F.xxhash64(F.to_json(F.struct("*"))))
-    few = few.withColumn(place, F.row_number().over(w)).where(F.col(place) == 1).drop(order, place)
-    return docs.join(repeated, same, "left_anti").unionByName(few)
+@dataclass
+class Keyed:
+    """docs with a long key a row: `key` names its column, null where the row has no id."""
+
+    docs: DataFrame
+    key: str
+    names: DataFrame | None  # (key, id), or None where the key is the id
+    id_type: str
+
+    def named(self, df: DataFrame, *columns: str) -> DataFrame:
+        """df with the keys in these columns replaced by the ids that they stand for."""
+        if self.names is None:
+            return df
+        order = df.columns
+        for c in columns:
+            df = df.join(self.names.toDF(c, "tm_named"), c).drop(c).withColumnRenamed("tm_named", c)
+        return df.select(*order)
+
+
+def row_keys(docs: DataFrame, id_col: str = "doc_id") -> Keyed:
+    """A long key for every row that has an id, in the order of the ids.
+
+    Unrepeated ids of a whole-number type are keys themselves; that costs a count over the id column.
+    Otherwise (ids of any other type, or rows that share an id) rows are numbered in the order of (id, hash of
+    the row): by a range sort, so that an id with a third of the rows is many tasks' work, and with docs written
+    once to the shared folder.  So no row is lost, whatever its id, and rows that share an id are rows like others.
+    """
+    kind = dict(docs.dtypes)[id_col]
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        ids = docs.select(F.col(f"`{id_col}`").alias("k")).where("k IS NOT NULL")
+        if ids.groupBy("k").count().where("count > 1").isEmpty():
+            if kind == "bigint":
+                return Keyed(docs, id_col, None, kind)
+            (key,) = fresh(docs, "tm_key")
+            return Keyed(docs.withColumn(key, F.col(f"`{id_col}`").cast("long")), key, None, kind)
+    row, key = fresh(docs, "tm_row", "tm_key")
+    saved = checkpointed(docs.withColumn(row, F.monotonically_increasing_id()))
+    content = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    order = saved.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`").alias("id"), content.alias("h"), F.col(row).alias("row")).orderBy("id", "h", "row")
+    order = checkpointed(order.select(F.monotonically_increasing_id().alias("key"), "id", "row"))
+    joined = checkpointed(saved.join(order.select(F.col("row").alias(row), F.col("key").alias(key)), row, "left").drop(row))
+    return Keyed(joined, key, order.select("key", "id"), kind)
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, fresh, keyed, one_row_per_id, sized
+from tidemark.llm.common import checkpointed, fresh, row_keys, sized, text_of
 
 Schedule = dict[str, list[tuple[float, float]]]
 
@@ -72,21 +72,28 @@ def plan(supply: dict[str, int], schedule: Schedule) -> tuple[dict[str, dict], i
 def positions(docs: DataFrame, schedule: Schedule | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, epoch, tokens, position), one row for each use of a document, in no order.
 
-    schedule: by source the knots (t, weight); None is `flattening`.  A null source counts as ''.  Documents
-    of a source without a weight or without any token are at position 0 of epoch 0, once.  Null and empty
-    texts have 0 tokens and the position of the next token.  Ties don't occur: documents of a source are
-    ordered by the hash of their id, then the id.  One row of each repeated id counts (`one_row_per_id`).
+    schedule: by source the knots (t, weight); None is `flattening`.  A null source counts as ''.  A source with
+    tokens but without a weight above 0 has no part in the run: its documents are left out.  Documents of a source
+    without any token are at position 0 of epoch 0, once.  Null and empty texts have 0 tokens and the position of
+    the next token; long texts count whole.  Documents of a source are ordered by the hash of their id; ids may be of
+    any type, and rows that share one are documents of their own, in the order of their content, so ties don't occur.
     Rows without an id aren't placed.  An empty table gives an empty result; other columns aren't read.
+    The schedule is held by source on the driver, so sources must be as few as a person can weigh.
     """
+    k = row_keys(docs, id_col)
+    return k.named(_positions(k.docs, k.key, schedule, text_col, source_col), "doc_id")
+
+
+def _positions(docs: DataFrame, key: str, schedule: Schedule | None, text_col: str, source_col: str) -> DataFrame:
     spark = docs.sparkSession
-    k, text = keyed(docs, id_col, text_col)
-    rows = one_row_per_id(docs, id_col).select(k.alias("doc_id"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("source"), token_count(text).alias("tokens")).where("doc_id IS NOT NULL")
+    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("source"), token_count(text_of(text_col)).alias("tokens")).where("doc_id IS NOT NULL")
     rows = checkpointed(rows.withColumn("hash", F.md5(F.col("doc_id").cast("string"))).withColumn("bucket", F.substring("hash", 1, 4)))
     sums = rows.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("source", "bucket", F.coalesce(before, F.lit(0)).alias("base"))
     supply = {r["source"]: int(r["n"]) for r in rows.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     shape, total = plan(supply, flattening(supply) if schedule is None else schedule)
+    supply = {s: n for s, n in supply.items() if s in shape or not n}
     piece = "array<struct<t double, c double, w double, m double>>"
     table = spark.createDataFrame([(s, n, shape[s]["demand"] if s in shape else 0, shape[s]["area"] if s in shape else 0.0, shape[s]["pieces"] if s in shape else []) for s, n in supply.items()], f"source string, supply long, demand long, area double, pieces {piece}")
     inner = F.sum("tokens").over(Window.partitionBy("source", "bucket").orderBy("hash", "doc_id").rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens")
@@ -100,15 +107,16 @@ def positions(docs: DataFrame, schedule: Schedule | None = None, id_col: str = "
 
 
 def mix(docs: DataFrame, schedule: Schedule | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """docs, its columns kept, in training order: each document once for each of its uses (see `positions`).
-    Rows without an id come last."""
-    docs = one_row_per_id(docs, id_col)
-    key, at = fresh(docs, "tm_id", "tm_position")
-    placed = positions(docs, schedule, id_col, text_col, source_col).select(F.col("doc_id").alias(key), F.col("position").alias(at))
+    """docs, its columns kept, in training order: each document once for each of its uses.  What `positions` says of
+    nulls, empty and long texts, ties, rows that share an id, sources without a weight and empty tables holds here;
+    rows without an id come last, once, and other columns may have any name."""
+    k = row_keys(docs, id_col)
+    key, at, used = fresh(k.docs, "tm_id", "tm_position", "tm_used")
+    placed = _positions(k.docs, k.key, schedule, text_col, source_col).select(F.col("doc_id").alias(key), F.col("position").alias(at))
     placed = placed.groupBy(key).agg(F.collect_list(at).alias(at))
-    joined = docs.join(placed.hint("shuffle_hash"), F.col(f"`{id_col}`").cast("long") == F.col(key), "left").drop(key)
+    joined = k.docs.join(placed.hint("shuffle_hash"), F.col(f"`{k.key}`") == F.col(key), "left").withColumn(used, F.col(key).isNotNull() | F.col(f"`{k.key}`").isNull()).where(F.col(used))
     joined = joined.withColumn(at, F.explode_outer(at))
-    return joined.orderBy(F.col(at).asc_nulls_last(), F.col(f"`{id_col}`")).drop(at)
+    return joined.orderBy(F.col(at).asc_nulls_last(), F.col(f"`{k.key}`")).select(*[f"`{c}`" for c in docs.columns])
 
 
 ORACLE_SQL = r"""

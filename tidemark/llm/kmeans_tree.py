@@ -12,76 +12,17 @@ visited leaves is at TARGET.
 
 from __future__ import annotations
 
-import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import vectors as vs
 from tidemark.llm.common import checkpointed
 
-K, BRANCH, LEAF, PROBES, TARGET = 10, 8, 512, 400, 0.95
-BLOCK_BYTES = 4 << 20  # query vectors, as doubles, that a task holds
-LEAST_SAMPLE = 8  # sample vectors of a node that is split
-
-
-class Tree:
-    """Nodes in arrays: centres, and the range of each node's children; leaves are numbered."""
-
-    def __init__(self, x: np.ndarray, n: int, leaf: int = LEAF, branch: int = BRANCH) -> None:
-        self.centres, self.children, self.leaf = [x.mean(0)], [(0, 0)], [-1]
-        todo, leaves = [(0, x)], 0
-        while todo:
-            at, part = todo.pop()
-            parts = []
-            if len(part) * n / len(x) > leaf and len(part) > max(LEAST_SAMPLE, branch):
-                c = vs.kmeans(part, branch)
-                near = vs.squared(part, c).argmin(1)
-                parts = [part[near == i] for i in range(branch) if (near == i).any()]
-            if len(parts) < 2:
-                self.leaf[at], leaves = leaves, leaves + 1
-                continue
-            first = len(self.centres)
-            self.children[at] = (first, first + len(parts))
-            for p in parts:
-                todo.append((len(self.centres), p))
-                self.centres.append(p.mean(0))
-                self.children.append((0, 0))
-                self.leaf.append(-1)
-        self.centres, self.leaves = np.array(self.centres), leaves
-
-    def descend(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of each vector."""
-        out = np.zeros(len(x), np.int32)
-        todo = [(0, np.arange(len(x)))]
-        while todo:
-            at, rows = todo.pop()
-            a, b = self.children[at]
-            if a == b:
-                out[rows] = self.leaf[at]
-                continue
-            near = vs.squared(x[rows], self.centres[a:b]).argmin(1)
-            todo += [(a + i, rows[near == i]) for i in range(b - a) if (near == i).any()]
-        return out
-
-    def visits(self, q: np.ndarray, most: int) -> np.ndarray:
-        """The first leaves of each query, best bin first; -1 where there are no more."""
-        out = np.full((len(q), most), -1, np.int32)
-        for lo in range(0, len(q), 1024):
-            d = vs.squared(q[lo : lo + 1024], self.centres).tolist()
-            for i, row in enumerate(d, lo):
-                heap, done = [(row[0], 0)], 0
-                while heap and done < most:
-                    _, at = heapq.heappop(heap)
-                    a, b = self.children[at]
-                    if a == b:
-                        out[i, done] = self.leaf[at]
-                        done += 1
-                    for c in range(a, b):
-                        heapq.heappush(heap, (row[c], c))
-        return out
+K, BRANCH, LEAF, PROBES, TARGET = 10, 8, 128, 400, 0.95
 
 
 def _nearest(q: np.ndarray, qid: np.ndarray, k: int, dims: int, kind: str):
@@ -111,51 +52,52 @@ def _nearest(q: np.ndarray, qid: np.ndarray, k: int, dims: int, kind: str):
     return run
 
 
-def approximate_topk(df: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", target: float = TARGET, leaf: int = LEAF, probes: int = PROBES) -> DataFrame:
-    """(id, rank, neighbor, distance): of each vector the k nearest others in the leaves it visits, by Euclidean
-    distance, ties by id.  Where the leaves hold fewer than k others, there are fewer rows.  What
-    `vectors.read_vectors` leaves out is neither query nor neighbour.  An empty table gives an empty result.
+def approximate_topk(df: DataFrame, k: int = K, id_col: str = "vec_id", vec_col: str = "embedding", queries: Column | None = None, target: float = TARGET, leaf: int = LEAF, probes: int = PROBES) -> DataFrame:
+    """(id, rank, neighbor, distance): of each query the k nearest others in the leaves it visits, by Euclidean
+    distance, ties by id.  queries: a condition on df's rows; None makes every vector a query.
+
+    Where the leaves hold fewer than k others, there are fewer rows.  Ids may be of any type; rows that share an id but
+    not the vector are vectors of their own, equal rows are one.  What `vectors.read_vectors` leaves out (nulls, NaN,
+    other lengths) is neither query nor neighbour.  Vectors of any length are read whole.  An empty table gives an empty
+    result; other columns aren't read.
     """
     spark = df.sparkSession
-    rows, dims, kind = vs.read_vectors(df, id_col, vec_col)
-    n = rows.count()
+    v = vs.read_vectors(df, id_col, vec_col, queries)
+    dims, kind = v.dims, v.kind
+    n = v.rows.count()
     if n < 2 or k < 1:
-        return spark.createDataFrame([], "id long, rank int, neighbor long, distance double")
-    tree = Tree(vs.sampled(rows, vs.SAMPLE, dims, kind), n, leaf)
+        return v.named(spark.createDataFrame([], vs.RESULT))
+    tree = vs.Tree(vs.sampled(v.rows, vs.SAMPLE, dims, kind), n, leaf, BRANCH)
 
-    def assign(batches):
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = vs.matrix(batch.column(1), dims, kind)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tree.descend(x)), pa.array(np.zeros(len(x)))], ["id", "vec", "cell", "r"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tree.descend(x)), pa.array(np.zeros(len(x)))], ["id", "vec", "q", "cell", "r"])
 
-    index = checkpointed(rows.mapInArrow(assign, "id long, vec binary, cell int, r double"))
-    sizes = {r["cell"]: r["n"] for r in index.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    index = vs.merged_blocks(index, sizes, max(1, BLOCK_BYTES // (8 * dims)))
+    index = checkpointed(v.rows.mapInArrow(assign, "id long, vec binary, q boolean, cell int, r double"))
     most = calibrate(index, tree, k, target, probes, dims, kind)
 
-    def travel(batches):
+    def travel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for lo in range(0, batch.num_rows, 1024):
-                v = tree.visits(vs.matrix(batch.column(1).slice(lo, 1024), dims, kind), most)
-                out += [row.tobytes() for row in v]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*batch.schema.names, "extra"])
+            seen = tree.visits(vs.matrix(batch.column("vec"), dims, kind), most)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([row.tobytes() for row in seen], pa.binary())], [*batch.schema.names, "extra"])
 
     # every query's leaves in order, found once; a block pulls those that one of its queries visits
-    index = checkpointed(index.select("id", "vec", "cell", "r", "block").repartition(max(1, -(-n // 4096)), "id").mapInArrow(travel, "id long, vec binary, cell int, r double, block long, extra binary"))
+    asked = vs.blocks(index.where("q").drop("q"), dims, tree.leaves).select("block", "cell", "r", "id", "vec")
+    asked = checkpointed(asked.repartition("id").mapInArrow(travel, "block long, cell int, r double, id long, vec binary, extra binary"))
 
-    def leaves(batches):
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int32).reshape(-1, most)
+            seen = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int32).reshape(-1, most)
             block = np.repeat(batch.column(0).to_numpy(), most).reshape(-1, most)
-            turn = np.broadcast_to(np.arange(most), v.shape)
-            ok = v >= 0
-            key = np.unique(np.stack([block[ok], v[ok], turn[ok]], 1), axis=0)
+            turn = np.broadcast_to(np.arange(most), seen.shape)
+            ok = seen >= 0
+            key = np.unique(np.stack([block[ok], seen[ok], turn[ok]], 1), axis=0)
             keep = np.ones(len(key), bool)
             keep[1:] = (key[1:, :2] != key[:-1, :2]).any(1)
             yield pa.RecordBatch.from_arrays([pa.array(key[keep, 0]), pa.array(key[keep, 1].astype(np.int32)), pa.array(key[keep, 2])], ["block", "cell", "turn"])
 
-    needs = index.select("block", "extra").mapInArrow(leaves, "block long, cell int, turn long").groupBy("block", "cell").agg(F.min("turn").alias("turn"))
+    needs = asked.select("block", "extra").mapInArrow(leaves, "block long, cell int, turn long").groupBy("block", "cell").agg(F.min("turn").alias("turn"))
     needs = needs.select("block", "cell", (F.col("turn") * tree.leaves + F.col("cell")).alias("turn"), F.lit(0.0).alias("least"), F.lit(0.0).alias("most"))
 
     def prepare(s: vs.Search):
@@ -166,23 +108,26 @@ def approximate_topk(df: DataFrame, k: int = K, id_col: str = "vec_id", vec_col:
     def wanted(s: vs.Search, seen: np.ndarray, at: int, lo: float, hi: float) -> np.ndarray:
         return np.flatnonzero(seen[:, at])
 
-    return vs.searched(index, needs, vs.block_search(dims, kind, k, prepare, wanted))
+    return v.named(vs.searched(index, asked, needs, vs.block_search(dims, kind, k, prepare, wanted)))
 
 
-def calibrate(index: DataFrame, tree: Tree, k: int, target: float, probes: int, dims: int, kind: str) -> int:
-    """Leaves to visit."""
+def calibrate(index: DataFrame, tree: vs.Tree, k: int, target: float, probes: int, dims: int, kind: str) -> int:
+    """Leaves to visit: the least power of two that reaches the target, then the least number under it that does."""
     chosen = index.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(probes).select("id", "vec").collect()
     q = np.frombuffer(b"".join(bytes(r["vec"]) for r in chosen), kind).reshape(-1, dims).astype(np.float64)
     qid = np.array([r["id"] for r in chosen])
     near = index.select("id", "vec", "cell").mapInArrow(_nearest(q, qid, k, dims, kind), "who long, leaf long, dist double, id long")
-    from pyspark.sql import Window
-
-    near = near.withColumn("rank", F.row_number().over(Window.partitionBy("who").orderBy("dist", "id"))).where(F.col("rank") <= k).select("who", "leaf").collect()
-    order = tree.visits(q, tree.leaves)
-    place = np.full((len(q), tree.leaves), tree.leaves)
-    np.put_along_axis(place, order.astype(np.int64), np.arange(tree.leaves)[None].repeat(len(q), 0), axis=1)
-    ranks = np.array([place[r["who"], r["leaf"]] for r in near])
-    for most in range(1, tree.leaves + 1):
-        if (ranks < most).mean() >= target:
-            return most
-    return tree.leaves
+    order = Window.partitionBy("who").orderBy("dist", "id")
+    near = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("who", "leaf").collect()
+    who, leaf = np.array([r["who"] for r in near]), np.array([r["leaf"] for r in near])
+    most = 1
+    while True:
+        # a query costs its visits, so widening by twos costs at most about twice the last step
+        place = np.full((len(q), tree.leaves + 1), tree.leaves)
+        seen = tree.visits(q, most).astype(np.int64)
+        np.put_along_axis(place, np.where(seen < 0, tree.leaves, seen), np.arange(most)[None].repeat(len(q), 0), axis=1)
+        ranks = np.sort(place[who, leaf])
+        enough = int(np.ceil(target * len(ranks) - 1e-9))
+        if most >= tree.leaves or not enough or ranks[enough - 1] < most:
+            return max(1, min(tree.leaves, int(ranks[enough - 1]) + 1)) if enough else 1
+        most = min(2 * most, tree.leaves)

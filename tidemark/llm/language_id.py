@@ -26,7 +26,6 @@ from tidemark.llm.common import sized
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE, ROUNDS, SMOOTH = 1000, 4, 0.05
-LONGEST = 16  # bytes of a piece
 MARK = 0x20
 SCALE = 64.0  # probabilities are kept times SCALE per byte, so that products stay in range
 LONG_WORD = 64  # bytes from which words need rescaling
@@ -44,6 +43,7 @@ class Pieces:
     def __init__(self, pieces: list[bytes]) -> None:
         self.pieces = pieces
         self.sizes = np.array([len(p) for p in pieces])
+        self.longest = int(self.sizes.max(initial=1))
         ids = {p: k for k, p in enumerate(pieces)}
         prefixes = sorted({p[:n] for p in pieces for n in range(1, len(p) + 1)})
         h = np.array([self._hash(p) for p in prefixes], np.uint64)
@@ -88,7 +88,7 @@ class Pieces:
         left = np.repeat(head + n, n) - np.arange(len(buf))
         at, h = np.arange(len(buf)), np.zeros(len(buf), np.uint64)
         out = []
-        for size in range(1, LONGEST + 1):
+        for size in range(1, self.longest + 1):
             keep = left[at] >= size
             at, h = at[keep], h[keep]
             h = h * _M + tk._BYTE_CODE[buf[at + size - 1]]
@@ -105,7 +105,7 @@ class Pieces:
 
 
 def load(path: str = VOCABULARY) -> list[bytes]:
-    """Lower-case pieces of words, with the marker for a word's start, and the single bytes of words."""
+    """The pieces that can occur in words, lower-cased as texts are, with the marker for a word's start, and the single bytes of words."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -113,9 +113,8 @@ def load(path: str = VOCABULARY) -> list[bytes]:
     for k in range(sp.get_piece_size()):
         if sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k):
             continue
-        text = sp.id_to_piece(k)
-        raw = text.replace("▁", chr(MARK)).encode()
-        if text == text.lower() and 0 < len(raw) <= LONGEST and raw.rfind(b" ") < 1 and all(tk._WORD_BYTE[b] for b in raw.lstrip(b" ")):
+        raw = sp.id_to_piece(k).lower().replace("▁", chr(MARK)).encode()
+        if raw and raw.rfind(b" ") < 1 and all(tk._WORD_BYTE[b] for b in raw.lstrip(b" ")):
             out.add(raw)
     return sorted(out)
 
@@ -124,7 +123,7 @@ def forward(edges: tuple[np.ndarray, ...], n: np.ndarray, p: np.ndarray) -> tupl
     """(alpha, log scale): sums over the segmentations of each word's first t bytes, by language.
     p: pieces x languages, times SCALE per byte.  n: bytes of each word with its marker."""
     w, s, e, k = edges
-    longest = int(n.max(initial=0))
+    longest, reach = int(n.max(initial=0)), int((e - s).max(initial=1))
     alpha = np.zeros((len(n), longest + 1, p.shape[1]))
     alpha[:, 0] = 1.0
     log = np.zeros((len(n), p.shape[1]))
@@ -135,11 +134,11 @@ def forward(edges: tuple[np.ndarray, ...], n: np.ndarray, p: np.ndarray) -> tupl
         for x in range(p.shape[1]):
             alpha[:, t, x] = np.bincount(w[i], weights=c[:, x], minlength=len(n))
         if longest > LONG_WORD + 1:
-            # rescale words that leave the range of floats; the next values need LONGEST ones back
+            # rescale words that leave the range of floats; the next values need those of a piece's length back
             far = (n >= t)[:, None] & (alpha[:, t] > 0) & ((alpha[:, t] < 1e-60) | (alpha[:, t] > 1e60))
             if far.any():
                 f = np.where(far, alpha[:, t], 1.0)
-                alpha[:, max(0, t - LONGEST) : t + 1] /= f[:, None, :]
+                alpha[:, max(0, t - reach) : t + 1] /= f[:, None, :]
                 log += np.log(f)
     return alpha, log
 
@@ -265,7 +264,7 @@ def _tables(name: bytes, model: Model) -> tuple[Pieces, np.ndarray]:
 def train(docs: DataFrame, vocabulary: str = VOCABULARY, sample: int = SAMPLE, rounds: int = ROUNDS, smooth: float = SMOOTH, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fitted to rows with a language and a text; each language in a task of its own."""
     pieces = load(vocabulary)
-    lang, key = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{id_col}`").cast("long")
+    lang, key = F.col(f"`{lang_col}`").cast("string"), F.col(f"`{id_col}`")
     own = docs.select(key.alias("id"), lang.alias("lang")).where("id IS NOT NULL AND lang IS NOT NULL AND lang <> ''")
     # each partition keeps its first `sample` rows of a language before the shuffle (WindowGroupLimit)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
@@ -310,7 +309,10 @@ def identify(model: Model, text: Column) -> Column:
 
 
 def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
-    """(doc_id, language, margin) for every row of docs, repeated rows and rows without an id too; an empty
-    table gives an empty result, and columns other than the three named aren't read."""
+    """(doc_id, language, margin) for every row of docs, repeated rows and rows without an id too.
+
+    Null, empty and word-free texts are 'und' with margin 0; others are read whole, however long.  Ties go to the first
+    language by name.  Rows without a language are judged, not fitted to; ids may be of any type.  An empty table gives
+    an empty result; columns other than the three named aren't read, whatever their names."""
     model = train(docs, id_col=id_col, text_col=text_col, lang_col=lang_col, **options)
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), identify(model, F.col(f"`{text_col}`")).alias("s")).select("doc_id", "s.language", "s.margin")

@@ -22,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit as tk
-from tidemark.llm.common import checkpointed, components, fresh, keyed, one_row_per_id, sized
+from tidemark.llm.common import checkpointed, components, fresh, row_keys, sized, text_of
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 3, 0.6, 32, 5
 U64 = np.uint64
@@ -132,19 +132,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     A group is a connected set of pairs whose shingle sets have a Jaccard similarity of at least
     `threshold`.  Null and word-free texts and rows without an id are in no group.  Texts shorter than a
-    shingle are one shingle.  Rows that repeat an id count as the one that `one_row_per_id` keeps.  An
-    empty table gives an empty result; other columns aren't read.
+    shingle are one shingle; longer ones are read whole, however long.  Ids may be of any type; rows that share
+    one are documents of their own, so that a row can be a duplicate of another of its id.  Ties don't occur.
+    An empty table gives an empty result; other columns aren't read.
     """
-    k, text = keyed(docs, id_col, text_col)
-    read = one_row_per_id(docs, id_col).select(k.alias("id"), text.alias("text")).where("id IS NOT NULL")
-    w = Window.partitionBy("k1", "k2").orderBy("id")
-    found = read.mapInArrow(signatures(shingle, bands, rows), "id long, k1 long, k2 long, bands array<long>")
-    found = checkpointed(found.withColumn("rep", F.first("id").over(w)).select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")))
-    copies = found.where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-
-    bucket = Window.partitionBy("band")
-    member = found.where("bands IS NOT NULL").select("id", F.explode("bands").alias("band"))
-    member = checkpointed(member.withColumn("n", F.count("*").over(bucket)).withColumn("lead", F.min("id").over(bucket)).where("n > 1").select("id", "band", "lead"))
+    k = row_keys(docs, id_col)
+    return k.named(_near(k.docs, k.key, text_col, shingle, threshold, bands, rows), "doc_id", "duplicate_of")
+
+
+def _near(docs: DataFrame, key: str, text_col: str, shingle: int, threshold: float, bands: int, rows: int) -> DataFrame:
+    read = docs.select(F.col(f"`{key}`").alias("id"), text_of(text_col).alias("text")).where("id IS NOT NULL")
+    found = checkpointed(read.mapInArrow(signatures(shingle, bands, rows), "id long, k1 long, k2 long, bands array<long>"))
+    # groups are counted with partial aggregation and written, then joined, so that a group or a bucket with a third
+    # of the rows is split as a skewed side and no window holds it
+    rep = checkpointed(found.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    copies = checkpointed(found.drop("bands").join(rep.hint("merge"), ["k1", "k2"]).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v")))
+    one = found.select("id", "bands").join(copies.select(F.col("u").alias("id")), "id", "left_anti")
+
+    member = one.select("id", F.explode("bands").alias("band"))
+    lead = checkpointed(member.groupBy("band").agg(F.min("id").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    member = checkpointed(member.join(lead.hint("merge"), "band").select("id", "band", "lead"))
     texts = read.join(sized(member.select("id").distinct()), "id", "left_semi")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -169,12 +176,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return pairs.unionByName(label.select(F.col("v").alias("doc_id"), F.col("label").alias("duplicate_of")))
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """docs without the documents that near_duplicates() names: one of each group, and of each repeated id, stays."""
-    id_col = options.get("id_col", "doc_id")
-    docs = one_row_per_id(docs, id_col)
-    gone = near_duplicates(docs, **options).select(F.col("doc_id").alias("tm_gone"))
-    gone = checkpointed(gone)
-    (name,) = fresh(docs, "tm_gone")
-    gone = gone.withColumnRenamed("tm_gone", name)
-    return docs.join(sized(gone), F.col(f"`{id_col}`") == F.col(name), "left_anti")
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """docs, its columns kept, without the rows that near_duplicates() names: one of each group stays, the first by
+    id and, of rows that share an id, by content.  Rows in no group (null and word-free texts, rows without an id)
+    stay.  An empty table stays empty; other columns may have any name."""
+    k = row_keys(docs, id_col)
+    gone = checkpointed(_near(k.docs, k.key, text_col, shingle, threshold, bands, rows).select(F.col("doc_id").alias("tm_gone")))
+    (name,) = fresh(k.docs, "tm_gone")
+    return k.docs.join(sized(gone.withColumnRenamed("tm_gone", name)), F.col(f"`{k.key}`") == F.col(name), "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -18,10 +18,10 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, keyed
+from tidemark.llm.common import checkpointed, row_keys, text_of
 from tidemark.llm.curriculum import token_count
 
 CAPACITY, GROUP = 2048, 4096
@@ -93,7 +93,7 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list
 
 def pack_group(capacity: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "copy"], kind="stable").reset_index(drop=True)
+        pdf = pdf.sort_values("key").reset_index(drop=True)
         sizes = [int(x) for x in pdf["size"]]
         group = int(pdf["grp"].iloc[0])
         bins = sorted(sorted(b) for b in local_search(best_fit(sizes, capacity), sizes, capacity))
@@ -115,19 +115,19 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP, id_col:
     """(bin, doc_ids, starts, sizes, tokens): the bins, with the pieces of each: the document, its first
     token (from 0; a token is a run without white space) and the number of tokens.
 
-    Every token of every row is in one bin.  Rows that repeat an id are packed each for itself.  Null,
-    empty and blank texts and rows without an id have no piece.  An empty table gives no bins; other
-    columns aren't read.
+    Every token of every row is in one bin.  Rows that share an id are packed each for itself; ids may be of any
+    type.  Null, empty and blank texts and rows without an id have no piece; a long text fills bins of its own.
+    Ties in size go by id.  An empty table gives no bins; other columns aren't read.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    k, text = keyed(docs, id_col, text_col)
-    rows = docs.select(k.alias("doc_id"), token_count(text).alias("n")).where("doc_id IS NOT NULL AND n > 0")
-    rows = checkpointed(rows.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id").orderBy("n"))))
+    k = row_keys(docs, id_col)
+    name, key = F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{k.key}`").alias("key")
+    rows = checkpointed(k.docs.select(name, key, token_count(text_of(text_col)).alias("n")).where("doc_id IS NOT NULL AND n > 0"))
     full = rows.where(f"n >= {capacity}").withColumn("part", F.explode(F.expr(f"sequence(0, cast(n DIV {capacity} AS int) - 1)")))
-    full = full.select(F.format_string("d%d-%d-%d", "doc_id", "copy", "part").alias("bin"), F.array("doc_id").alias("doc_ids"), F.array((F.col("part") * capacity).cast("long")).alias("starts"), F.array(F.lit(capacity).cast("long")).alias("sizes"), F.lit(capacity).cast("long").alias("tokens"))
-    rest = rows.where(f"n % {capacity} > 0").selectExpr("doc_id", "copy", f"n % {capacity} AS size", f"n - n % {capacity} AS start")
+    full = full.select(F.format_string("d%d-%d", "key", "part").alias("bin"), F.array("doc_id").alias("doc_ids"), F.array((F.col("part") * capacity).cast("long")).alias("starts"), F.array(F.lit(capacity).cast("long")).alias("sizes"), F.lit(capacity).cast("long").alias("tokens"))
+    rest = rows.where(f"n % {capacity} > 0").selectExpr("doc_id", "key", f"n % {capacity} AS size", f"n - n % {capacity} AS start")
     groups = max(1, round(rest.count() / group))
-    rest = rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(groups)))
-    shared = rest.groupBy("grp").applyInPandas(pack_group(capacity), "bin string, doc_ids array<long>, starts array<long>, sizes array<long>, tokens long")
+    rest = rest.withColumn("grp", F.pmod(F.xxhash64("key"), F.lit(groups)))
+    shared = rest.groupBy("grp").applyInPandas(pack_group(capacity), f"bin string, doc_ids array<{k.id_type}>, starts array<long>, sizes array<long>, tokens long")
     return full.unionByName(shared)

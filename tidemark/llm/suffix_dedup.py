@@ -1,19 +1,23 @@
 """Repeated passages by distributed prefix doubling over word positions.
 
-The order of the suffixes up to a threshold of L words decides which positions start a
-passage of L words that occurs elsewhere.  Ranks are names of equal prefixes; the rank of
-2h words at position i is the pair (rank_h[i], rank_h[i + h]).
-
-* Up to h = 16 words the doubling runs inside each text, in numpy.
-* Round one sorts sampled (rank_16, position) pairs: in each run of L words the least
-  rank_16 is an anchor.  Equal passages of L words have equal anchors, so a position whose
-  anchor is unique in the corpus is unique at L and leaves.  The sample follows content
-  and loses nothing; it is about 2 / (L - 15) of the positions.
-* Round two doubles to 32 and, with the last offset cut to L - 32, to L: Spark sorts the
-  pairs (rank_32[i], rank_32[i + L - 32]) of every position that is left, and equal
-  neighbours in that order are the repeats.
-
-Both rounds are one shuffle of rows of fixed width; nothing is collected or broadcast.
+The order of the suffixes up to a threshold of L words decides which positions start a passage of
+L words that occurs elsewhere.  A position's rank at h words is the first position, by (document,
+place), with the same h words.  One round doubles h, the last one stops at L: position i pairs its
+own rank with that of i + (new h - h), Spark sorts the pairs with their positions, and equal
+neighbours get a new rank; positions that are alone are unique and leave.
+
+* Before the rounds, words become hashes and runs of the first h (16 for L = 50) words get their
+  names inside each text, in numpy.  Round zero sorts sampled (name, position) pairs only: in each
+  run of L words the least name is an anchor; equal passages have equal anchors, so a position whose
+  anchor is unique in the corpus is unique at L and leaves.  The sample follows content and loses
+  nothing.
+* The first full round sorts pairs of names, all later ones pairs of ranks.
+* Where the two ranks of a pair are themselves that far apart in one document, the pair's first
+  position is known without a sort: it is the first of the two ranks, and no other pair is equal to
+  it.  So rounds after the first sort only the positions near the ends of repeats.
+
+Each round is one shuffle by rank pairs and one back to the documents, of rows of fixed width;
+nothing is collected or broadcast.
 """
 
 from __future__ import annotations
@@ -22,30 +26,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textkit as tk
-from tidemark.llm.common import fresh, keyed, one_row_per_id
+from tidemark.llm.common import fresh, row_keys, text_of
 
 LENGTH = 50
-FIRST, SECOND = 16, 32
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+RANKS = "id long, pos int, first_id long, first_pos int"
+PAIRS = "a_id long, a_pos int, b_id long, b_pos int, id long, pos int, stop int, first_id long, first_pos int"
+
+
+def rounds(length: int) -> list[int]:
+    """Words that ranks stand for: the names' number, then after each round, `length` last."""
+    out = [1 << max(0, (length // 3).bit_length() - 1)]
+    while True:
+        out.append(min(2 * out[-1], length))
+        if out[-1] == length:
+            return out
 
 
 def _anchors(texts: pa.Array, length: int) -> tuple[tk.Words, np.ndarray, np.ndarray]:
-    """(words, rank_16 of each position, least rank_16 of each run of `length` words)."""
+    """(words, name of each position, least name of each run of `length` words)."""
     w = tk.words_of(texts)
-    g = tk.grams(w.hash, FIRST)
-    g = np.minimum(g, TOP - np.uint64(1))
-    span = length - FIRST + 1
+    first = rounds(length)[0]
+    g = np.minimum(tk.grams(w.hash, first), TOP - np.uint64(1))
+    span = length - first + 1
     least = tk.sliding(np.minimum, g, span) if len(g) >= span else np.zeros(0, np.uint64)
     return w, g, least
 
 
 def anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = length - FIRST + 1
+        span = length - rounds(length)[0] + 1
         for batch in batches:
             ids = batch.column(0)
             for at, texts in tk.chunked(batch.column(1)):
@@ -65,15 +80,24 @@ def anchor_rows(length: int):
     return run
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
-    """Sorted rows in chunks, each with (equal to the row before, equal to the row after) on the keys."""
-    held, before = None, None
+def _with_end(batches):
+    yield from batches
+    yield None
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple]:
+    """Sorted rows in chunks, each with: has it an equal on the keys, and the first of these's (id, pos).  Tuples pass."""
+    held, before, lead = None, None, (0, 0)
     for batch in _with_end(batches):
+        if isinstance(batch, tuple):
+            yield batch
+            continue
         rows = held if batch is None else pa.Table.from_batches([batch])
         if batch is not None and held is not None:
             rows = pa.concat_tables([held, rows])
         if rows is None or not rows.num_rows:
             continue
+        rows = rows.combine_chunks()
         cols = [rows.column(k).to_numpy() for k in keys]
         same = np.ones(len(cols[0]) - 1, bool)
         for c in cols:
@@ -82,33 +106,31 @@ def _neighbours(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[
         after = np.concatenate([same, [False]])
         n = len(prior) if batch is None else len(prior) - 1
         if n:
-            yield rows.slice(0, n), prior[:n], after[:n]
-            before = [c[n - 1] for c in cols]
+            ids, pos = rows.column("id").to_numpy(), rows.column("pos").to_numpy()
+            head = np.maximum.accumulate(np.where(prior, -1, np.arange(len(prior))))
+            first_id, first_pos = np.where(head < 0, lead[0], ids[head]), np.where(head < 0, lead[1], pos[head])
+            yield rows.slice(0, n), (prior | after)[:n], first_id[:n], first_pos[:n]
+            before, lead = [c[n - 1] for c in cols], (first_id[n - 1], first_pos[n - 1])
         held = None if batch is None else rows.slice(n)
 
 
-def _with_end(batches):
-    yield from batches
-    yield None
-
-
-def repeats_of(keys: list[str]):
-    """Of rows sorted by the keys, those that have an equal: (id, pos, later), later for all but the first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, prior, after in _neighbours(batches, keys):
-            hit = prior | after
-            if hit.any():
-                kept = rows.filter(pa.array(hit)).combine_chunks()
-                yield pa.RecordBatch.from_arrays([kept.column("id").combine_chunks(), kept.column("pos").combine_chunks(), pa.array(prior[hit])], ["id", "pos", "later"])
-
-    return run
+def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (rank, id, pos) -> the positions whose rank another one has."""
+    for rows, hit, *_ in _grouped(batches, ["rank"]):
+        kept = rows.filter(pa.array(hit)).combine_chunks()
+        if kept.num_rows:
+            yield pa.RecordBatch.from_arrays([kept.column(c).combine_chunks() for c in ("id", "pos")], ["id", "pos"])
 
 
 def pair_rows(length: int):
-    """(id, text, positions of repeated anchors) -> rank pairs of every position that is left."""
+    """(id, text, positions of repeated anchors) -> name pairs of every position that a later round needs."""
+    steps = rounds(length)
+    reach = {0}
+    for h, wide in zip(steps[1:], steps[2:]):
+        reach |= {x + wide - h for x in reach}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = length - steps[0] + 1
         for batch in batches:
             batch = batch.filter(batch.column(2).is_valid())
             ids, anchors = batch.column(0), batch.column(2)
@@ -118,73 +140,159 @@ def pair_rows(length: int):
                 where = mine.flatten().to_numpy() + np.repeat(w.first[:-1], mine.value_lengths().to_numpy())
                 live = np.full(len(g), TOP)
                 live[where] = g[where]
-                span = length - FIRST + 1
-                left = np.flatnonzero((tk.sliding(np.minimum, live, span) == least) & tk.within(w.first, length))
-                if not len(left):
-                    continue
-                second = tk.grams(w.hash, SECOND)
+                left = np.flatnonzero((tk.sliding(np.minimum, live, span) == least) & tk.within(w.first, length)) if len(least) else []
+                need = np.zeros(len(g), bool)
+                for x in reach:
+                    need[np.asarray(left, np.int64) + x] = True
+                left = np.flatnonzero(need)
                 for lo in range(0, len(left), 1 << 16):
                     i = left[lo : lo + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(second[i].view(np.int64)), pa.array(second[i + length - SECOND].view(np.int64)), ids.take(pa.array(at + w.doc[i])), pa.array((i - w.first[w.doc[i]]).astype(np.int32))],
-                        ["r1", "r2", "id", "pos"],
-                    )
+                    other = (g[i + steps[1] - steps[0]] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(g[i].view(np.int64)), pa.array(other), ids.take(pa.array(at + w.doc[i])), pa.array((i - w.first[w.doc[i]]).astype(np.int32))], ["r1", "r2", "id", "pos"])
+
+    return run
+
+
+def first_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (r1, r2, id, pos) -> ranks of those that aren't alone."""
+    for rows, hit, first_id, first_pos in _grouped(batches, ["r1", "r2"]):
+        if hit.any():
+            ids, pos = (rows.column(c).to_numpy()[hit] for c in ("id", "pos"))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(pos), pa.array(first_id[hit]), pa.array(first_pos[hit].astype(np.int32))], ["id", "pos", "first_id", "first_pos"])
+
+
+def paired(offset: int, last: bool):
+    """Ranks sorted by (id, pos) -> pairs of ranks `offset` apart.  Pairs whose first position is known have no
+    a and b but that first position; in the last round they come as runs [pos, stop) that move in step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in _with_end(batches):
+            if batch is not None and not batch.num_rows:
+                continue
+            now = [c.to_numpy() for c in batch.columns] if batch is not None else [np.zeros(0, np.int64)] * 4
+            now = [np.concatenate([r, c]) for r, c in zip(rest, now)] if rest is not None else now
+            n = len(now[0]) if batch is None else int(np.searchsorted(now[0], now[0][-1]))
+            rest = [c[n:] for c in now]
+            ids, pos, fid, fpos = (c[:n].astype(np.int64) for c in now)
+            if not n:
+                continue
+            doc = np.cumsum(np.concatenate([[0], ids[1:] != ids[:-1]]))
+            place = (doc << 32) + pos
+            j = np.minimum(np.searchsorted(place, place + offset), n - 1)
+            i = np.flatnonzero(place[j] == place + offset)
+            j = j[i]
+            known = (fid[i] == fid[j]) & (fpos[j] == fpos[i] + offset)
+            far, near = i[~known], i[known]
+            to = j[~known]
+            stop = pos[near] + 1
+            if last:
+                later = (fid[near] != ids[near]) | (fpos[near] != pos[near])
+                near = near[later]
+                new = np.ones(len(near), bool)
+                new[1:] = (place[near][1:] != place[near][:-1] + 1) | (fid[near][1:] != fid[near][:-1]) | (fpos[near][1:] != fpos[near][:-1] + 1)
+                head = np.flatnonzero(new)
+                stop = pos[near][np.append(head[1:], len(near)) - 1] + 1 if len(near) else pos[near]
+                near = near[head]
+            for rows, pair in ((far, True), (near, False)):
+                end = pos[rows] + 1 if pair else stop
+                for lo in range(0, len(rows), 1 << 16):
+                    k, t = rows[lo : lo + (1 << 16)], to[lo : lo + (1 << 16)]
+                    none = pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int32())
+                    a = (pa.array(fid[k]), pa.array(fpos[k].astype(np.int32)), pa.array(fid[t]), pa.array(fpos[t].astype(np.int32))) if pair else none * 2
+                    f = none if pair else (pa.array(fid[k]), pa.array(fpos[k].astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*a, pa.array(ids[k]), pa.array(pos[k].astype(np.int32)), pa.array(end[lo : lo + (1 << 16)].astype(np.int32)), *f], ["a_id", "a_pos", "b_id", "b_pos", "id", "pos", "stop", "first_id", "first_pos"])
 
     return run
 
 
-def _runs(ids: np.ndarray, pos: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge [pos, pos + length) of sorted rows that touch: (id, start, end)."""
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (pos[1:] > pos[:-1] + length)
+def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs sorted by (a, b, id, pos) -> (id, pos, stop, first): known ones as they are, of the others those that aren't alone."""
+
+    names = ["id", "pos", "stop", "first_id", "first_pos"]
+
+    def pairs():
+        for batch in batches:
+            unknown = batch.column("a_id").is_valid()
+            if (known := batch.filter(pc.invert(unknown))).num_rows:
+                yield (known.select(names),)
+            yield batch.filter(unknown)
+
+    for rows, *found in _grouped(pairs(), ["a_id", "a_pos", "b_id", "b_pos"]):
+        if not found:
+            yield rows
+            continue
+        hit, first_id, first_pos = found
+        if hit.any():
+            kept = rows.filter(pa.array(hit)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([*(kept.column(c).combine_chunks() for c in names[:3]), pa.array(first_id[hit]), pa.array(first_pos[hit].astype(np.int32))], names)
+
+
+def _merged(ids: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge sorted intervals that touch: (id, start, stop)."""
+    if not len(ids):
+        return ids, start, stop
+    doc = np.cumsum(np.concatenate([[0], ids[1:] != ids[:-1]])) << 32
+    reach = np.maximum.accumulate(doc + stop)
+    new = np.concatenate([[True], (doc + start)[1:] > reach[:-1]])
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(ids)) - 1
-    return ids[head], pos[head], pos[tail] + length
+    return ids[head], start[head], reach[tail] - doc[tail]
 
 
 def span_rows(length: int):
+    """Runs of starting positions sorted by (id, start, stop) -> spans of words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))
+        rest = None
         for batch in _with_end(batches):
-            if batch is None:
-                ids, pos, later = rest
-                n = len(ids)
-            else:
-                ids, pos, later = (np.concatenate([r, batch.column(k).to_numpy(zero_copy_only=False)]) for k, r in enumerate(rest))
-                n = int(np.searchsorted(ids, ids[-1])) if len(ids) else 0
-            rest = (ids[n:], pos[n:], later[n:])
-            ids, pos, later = ids[:n], pos[:n].astype(np.int64), later[:n]
+            if batch is not None and not batch.num_rows:
+                continue
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns] if batch is not None else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
+            now = [np.concatenate([r, c]) for r, c in zip(rest, now)] if rest is not None else now
+            n = len(now[0]) if batch is None else int(np.searchsorted(now[0], now[0][-1]))
+            rest = [c[n:] for c in now]
+            ids, start, stop, later = (c[:n] for c in now)
             if not n:
                 continue
-            doc, start, end = _runs(ids, pos, length)
+            start, stop = start.astype(np.int64), stop.astype(np.int64) - 1 + length
+            doc, a, b = _merged(ids, start, stop)
             count = np.zeros(len(doc), np.int64)
-            if later.any():
-                d, s, e = _runs(ids[later], pos[later], length)
-                owner = np.searchsorted(np.rec.fromarrays([doc, start]), np.rec.fromarrays([d, s]), side="right") - 1
-                np.add.at(count, owner, e - s)
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(count.astype(np.int32))], ["doc_id", "start_word", "end_word", "later_words"])
+            d, s, e = _merged(ids[later], start[later], stop[later])
+            owner = np.searchsorted(np.rec.fromarrays([doc, a]), np.rec.fromarrays([d, s]), side="right") - 1
+            np.add.at(count, owner, e - s)
+            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(count.astype(np.int32))], ["doc_id", "start_word", "end_word", "later_words"])
 
     return run
 
 
-def _positions(docs: DataFrame, length: int, id_col: str, text_col: str, wide: bool = False) -> DataFrame:
-    """(id, pos, later) of docs with one row per id.  wide: the texts are joined with all their columns and rows,
-    so that a later left join of docs on the id reuses that shuffle."""
-    if length < SECOND:
-        raise ValueError(f"length must be at least {SECOND} words")
-    k, text = keyed(docs, id_col, text_col)
-    read = docs.select(k.alias("id"), text.alias("text")).where("id IS NOT NULL")
+def _repeats(docs: DataFrame, length: int, key: str, text_col: str, wide: bool = False) -> DataFrame:
+    """(id, pos, stop, first_id, first_pos): the starts [pos, stop) of runs of `length` words that equal those from
+    the first one on; first ones aren't rows.  wide: the texts are joined with all their columns and rows, so that a
+    later left join of docs on the key reuses that shuffle."""
+    if length < 1:
+        raise ValueError("length must be positive")
+    steps = rounds(length)
+    read = docs.select(F.col(f"`{key}`").alias("id"), text_of(text_col).alias("text")).where("id IS NOT NULL")
     first = read.mapInArrow(anchor_rows(length), "rank long, id long, pos int")
-    live = first.repartition("rank").sortWithinPartitions("rank", "id", "pos").mapInArrow(repeats_of(["rank"]), "id long, pos int, later boolean")
+    live = first.repartition("rank").sortWithinPartitions("rank", "id", "pos").mapInArrow(repeated, "id long, pos int")
     live = live.groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("anchors"))
     if wide:
-        key, anchors, mine, body = fresh(docs, "tm_id", "tm_anchors", "tm_mine", "tm_body")
-        left = docs.join(live.toDF(key, anchors).hint("shuffle_hash"), F.col(f"`{id_col}`").cast("long") == F.col(key), "left")
-        left = left.select(k.alias(mine), text.alias(body), anchors, *[f"`{c}`" for c in docs.columns])
+        name, anchors, mine, body = fresh(docs, "tm_id", "tm_anchors", "tm_mine", "tm_body")
+        left = docs.join(live.toDF(name, anchors).hint("shuffle_hash"), F.col(f"`{key}`") == F.col(name), "left")
+        left = left.select(F.col(f"`{key}`").alias(mine), text_of(text_col).alias(body), anchors, *[f"`{c}`" for c in docs.columns])
     else:
         left = read.join(live.hint("shuffle_hash"), "id").select("id", "text", "anchors")
-    pairs = left.mapInArrow(pair_rows(length), "r1 long, r2 long, id long, pos int")
-    return pairs.repartition("r1", "r2").sortWithinPartitions("r1", "r2", "id", "pos").mapInArrow(repeats_of(["r1", "r2"]), "id long, pos int, later boolean")
+    pairs = left.mapInArrow(pair_rows(length), "r1 long, r2 int, id long, pos int")
+    ranks = pairs.repartition("r1", "r2").sortWithinPartitions("r1", "r2", "id", "pos").mapInArrow(first_ranks, RANKS)
+    done = ranks.selectExpr("id", "pos", "pos + 1 AS stop", "first_id", "first_pos")
+    for h, wider in zip(steps[1:], steps[2:]):
+        rows = done.select("id", "pos", "first_id", "first_pos").repartition("id").sortWithinPartitions("id", "pos").mapInArrow(paired(wider - h, wider == length), PAIRS)
+        # known pairs pass the sort by: they are spread by their own place
+        where = F.when(F.col("a_id").isNull(), F.xxhash64("id", "pos")).otherwise(F.xxhash64("a_id", "a_pos", "b_id", "b_pos"))
+        rows = rows.repartition(where).sortWithinPartitions("a_id", "a_pos", "b_id", "b_pos", "id", "pos")
+        done = rows.mapInArrow(ranked, "id long, pos int, stop int, first_id long, first_pos int")
+    return done.where("id <> first_id OR pos <> first_pos")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,11 +300,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     of words that lie in a run of `length` words occurring at least twice in the corpus, in one text or
     several.  later_words counts those in a run that also occurs earlier, by (doc_id, position).
 
-    Null, empty and shorter texts and rows without an id have no span; rows that repeat an id count as the
-    one that `one_row_per_id` keeps; an empty table gives an empty result; other columns aren't read.
+    Null, empty and shorter texts and rows without an id have no span.  Ids may be of any type; rows that share one
+    are texts of their own, in the order of their content, and each has its spans.  Texts are read whole, however
+    long; ties don't occur.  An empty table gives an empty result; other columns aren't read.
     """
-    hits = _positions(one_row_per_id(docs, id_col), length, id_col, text_col)
-    return hits.repartition("id").sortWithinPartitions("id", "pos").mapInArrow(span_rows(length), "doc_id long, start_word int, end_word int, later_words int")
+    k = row_keys(docs, id_col)
+    hits = _repeats(k.docs, length, k.key, text_col)
+    # a run and the place that it repeats; many repeat the same place, which is sent once a task
+    both = F.array(F.struct("id", F.col("pos").alias("start"), "stop", F.lit(True).alias("later")), F.struct(F.col("first_id").alias("id"), F.col("first_pos").alias("start"), (F.col("first_pos") + F.col("stop") - F.col("pos")).alias("stop"), F.lit(False).alias("later")))
+    runs = hits.select(F.explode(both).alias("r")).select("r.*").distinct()
+    spans = runs.repartition("id").sortWithinPartitions("id", "start", "stop").mapInArrow(span_rows(length), "doc_id long, start_word int, end_word int, later_words int")
+    return k.named(spans, "doc_id")
 
 
 def _cut(length: int):
@@ -209,8 +323,8 @@ def _cut(length: int):
                 # lower-casing can change byte lengths, so words are found in the text as it is
                 w = tk.words_of(pa.array([text]), lower=False)
                 raw, parts, at = w.data.tobytes(), [], 0
-                pos = found.values.to_numpy()
-                _, s, e = _runs(np.zeros(len(pos), int), pos, length)
+                start, stop = (found.values.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+                _, s, e = _merged(np.zeros(len(start), int), start, stop - 1 + length)
                 for a, b in zip(s, e):
                     parts.append(raw[at : w.start[a]])
                     at = w.end[b - 1]
@@ -222,13 +336,16 @@ def _cut(length: int):
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs, its columns kept, without the words that `repeated_spans` counts as later; one row per id.
-    Rows without an id and texts without repeats stay as they are.  n_chars, if there is such a column,
-    follows the text."""
-    docs = one_row_per_id(docs, id_col)
-    key, found = fresh(docs, "tm_id", "tm_found")
-    later = _positions(docs, length, id_col, text_col, wide=True).where("later").groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("found"))
-    joined = docs.join(later.toDF(key, found).hint("shuffle_hash"), F.col(f"`{id_col}`").cast("long") == F.col(key), "left")
+    """docs, its columns kept, without the words that `repeated_spans` counts as later.
+
+    Every row stays, one of which no word is left as well; rows that share an id are texts of their own.  Null and
+    empty texts, rows without an id and texts without repeats stay as they are.  n_chars, if there is such a column,
+    follows the text.  An empty table stays empty; other columns may have any name.
+    """
+    k = row_keys(docs, id_col)
+    name, found = fresh(k.docs, "tm_id", "tm_found")
+    later = _repeats(k.docs, length, k.key, text_col, wide=True).groupBy("id").agg(F.sort_array(F.collect_list(F.struct("pos", "stop"))).alias("found"))
+    joined = k.docs.join(later.toDF(name, found).hint("shuffle_hash"), F.col(f"`{k.key}`") == F.col(name), "left")
     text, kept = F.col(f"`{text_col}`"), F.col(found).isNull()
     out = joined.withColumn(text_col, F.when(kept, text).otherwise(_cut(length)(text.cast("string"), F.col(found))))
     if "n_chars" in docs.columns:

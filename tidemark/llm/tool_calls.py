@@ -184,7 +184,7 @@ def link(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas: dic
     linked = calls.join(found.hint("shuffle_hash"), F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i")), "left")
     linked = linked.select("conv_id", F.struct("call_id", F.col("turn").cast("long").alias("turn"), "name", "arguments", "result").alias("call"), F.lit(None).alias("message"))
     texts = messages.select("conv_id", F.lit(None).alias("call"), F.struct("content", "role", F.col("turn").cast("long").alias("turn")).alias("message"))
-    rows = linked.unionByName(texts).groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.collect_list("call").alias("calls"), F.collect_list("message").alias("messages"))
+    rows = linked.unionByName(texts).groupBy("conv_id").agg(F.collect_list("call").alias("calls"), F.collect_list("message").alias("messages"))
     return rows.mapInArrow(_format(schemas), "conv_id long, calls int, answered int, faulty int, formatted string")
 
 

@@ -26,11 +26,8 @@ from tidemark.llm.common import fresh
 
 SAMPLE = 16_000
 DIM = 1 << 20
-ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 6.0, 1.0, 6
-#: Features of fewer training texts than this are left out: they could only be learnt by heart.
-LEAST_TEXTS = 4
-#: The model's largest number of weights; training raises L1 until it fits.
-MOST_WEIGHTS = 1 << 18
+#: L1 alone keeps rare features out; the model has at most DIM weights, 8 MB, whatever the corpus.
+ALPHA, BETA, L1, L2, EPOCHS = 0.3, 1.0, 20.0, 1.0, 6
 
 
 def features(texts: pa.Array, dim: int = DIM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,7 +90,7 @@ def _margins(dense: np.ndarray, bias: float, texts: pa.Array) -> tuple[np.ndarra
     return np.bincount(pair // DIM, weights=dense[pair % DIM], minlength=len(texts)) + bias, words
 
 
-def _train(epochs: int, least_l1: float):
+def _train(epochs: int, l1: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         xs: list[np.ndarray] = []
         ys, us, hs, texts = [], [], [], []
@@ -115,18 +112,8 @@ def _train(epochs: int, least_l1: float):
         fit = [i for i in turn if not held[i]]
         if len(set(y[fit])) < 2:
             return
-        seen = np.zeros(DIM + 1, np.int64)
-        for i in fit:
-            seen[xs[i]] += 1
-        seen[DIM] = LEAST_TEXTS
-        xs = [x[seen[x] >= LEAST_TEXTS] for x in xs]
-        l1 = least_l1
-        while True:
-            w = ftrl([xs[i] for i in fit], y[fit], np.ones(len(fit)), DIM, l1, epochs)
-            places = np.flatnonzero(w[:DIM])
-            if len(places) <= MOST_WEIGHTS:
-                break
-            l1 *= 2
+        w = ftrl([xs[i] for i in fit], y[fit], np.ones(len(fit)), DIM, l1, epochs)
+        places = np.flatnonzero(w[:DIM])
         test = np.flatnonzero(held) if len(set(y[held])) == 2 else np.arange(len(xs))
         margin = np.array([w[xs[i]].sum() for i in test])
         best = np.argsort(-margin, kind="stable")
@@ -147,7 +134,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Of labels that repeat an id the largest counts; null labels and ids don't.
     """
-    own = labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
+    kind = dict(docs.dtypes)[id_col]
+    own = labels.select(F.col(f"`{id_col}`").cast(kind).alias("id"), F.col(f"`{label_col}`").cast("int").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
     own = own.groupBy("id").agg((F.max("y") > 0).cast("int").alias("y")).withColumn("h", F.xxhash64("id"))
     total = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
     if len(total) < 2:
@@ -156,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     weight = {y: max(1.0, n / half) for y, n in total.items()}
     taken = [own.where(f"y = {y}").orderBy("h", "id").limit(half).withColumn("u", F.lit(weight[y])) for y in (0, 1)]
     chosen = taken[0].unionByName(taken[1])
-    text = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text IS NOT NULL")
+    text = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text IS NOT NULL")
     rows = text.join(F.broadcast(chosen), "id").select("text", "y", "u", F.expr("pmod(h, 9223372036854775807)").alias("h"))
     found = rows.repartition(1).sortWithinPartitions("h", "text").mapInArrow(_train(epochs, l1), "places array<int>, weights array<float>, bias double, cut double, f1 double").collect()
     if not found:
@@ -188,13 +176,21 @@ def score(model: Model | None, text: Column) -> Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(doc_id, score, toxic) for every row of docs, repeated rows and rows without an id too."""
+    """(doc_id, score, toxic) for every row of docs, repeated rows and rows without an id too.
+
+    Null, empty, blank and word-free texts score 0 and aren't toxic; texts are read whole, however long.  A document
+    is toxic from the threshold on, ties with it included.  Ids may be of any type; labels are matched by id.  Where
+    the labels don't show both classes nothing is toxic.  An empty table gives an empty result; other columns of docs
+    and labels aren't read, whatever their names.
+    """
     model = train(docs, labels, id_col, text_col, **options)
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), score(model, F.col(f"`{text_col}`")).alias("s")).select("doc_id", "s.score", "s.toxic")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, all columns kept, that aren't toxic; an empty table stays empty."""
+    """The rows of docs, all columns kept, that `toxicity` doesn't call toxic: each repeated row and each row without
+    an id is judged by its own text; null, empty and word-free texts stay.  Without labels of both classes every row
+    stays; an empty table stays empty; other columns may have any name."""
     model = train(docs, labels, text_col=text_col, **options)
     (name,) = fresh(docs, "tm_toxic")
     return docs.withColumn(name, score(model, F.col(f"`{text_col}`"))["toxic"]).where(~F.col(name)).drop(name)

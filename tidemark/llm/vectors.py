@@ -8,27 +8,45 @@ the result needs no merge.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import Keyed, checkpointed, row_keys
 
-BLOCK = 1024  # queries of a block, about
 CHUNK = 1024  # vectors compared at once
-SAMPLE = 20_000  # vectors that pivots and trees are fitted to
+SAMPLE = 65_536  # vectors, at most, that pivots and trees are fitted to; every vector is indexed
+BLOCK_BYTES = 4 << 20  # query vectors, as doubles, that a task holds
+BOUND_BYTES = 32 << 20  # and what it holds of each query and cell
+LEAST_BLOCK = 64  # queries of a block, where there are as many
 
+RESULT = "id long, rank int, neighbor long, distance double"
 
-def read_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int, str]:
-    """((id, vec as bytes), dimensions, numpy type): vectors of the commonest length (the shorter of equals).
-    Null ids and vectors, vectors with nulls, NaN or infinities and of other lengths are left out; of rows
-    that repeat an id, the one with the least bytes stays."""
+
+@dataclass
+class Vectors:
+    rows: DataFrame  # (id as a long key, vec as bytes, q: is it a query)
+    dims: int
+    kind: str  # numpy's name of the type
+    keys: Keyed
+
+    def named(self, found: DataFrame) -> DataFrame:
+        return self.keys.named(found, "id", "neighbor")
+
+
+def read_vectors(df: DataFrame, id_col: str, vec_col: str, queries: Column | None) -> Vectors:
+    """Vectors of the commonest length (the shorter of equals), queries those rows for which `queries` is true.
+    Null ids and vectors, vectors with nulls, NaN or infinities and of other lengths are left out; equal rows
+    count once, rows that share an id but not the vector each."""
     kind = "f4" if dict(df.dtypes)[vec_col] == "array<float>" else "f8"
     width = "float" if kind == "f4" else "double"
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").cast(f"array<{width}>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
+    asked = F.lit(True) if queries is None else F.coalesce(queries, F.lit(False))
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{vec_col}`").cast(f"array<{width}>").alias("v"), asked.alias("q")).where("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
     rows = rows.where("NOT exists(v, x -> x IS NULL OR isnan(x) OR abs(x) = double('infinity'))")
     sizes = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     dims = sizes[0]["n"] if sizes else 0
@@ -38,10 +56,13 @@ def read_vectors(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, i
             if batch.num_rows:
                 x = batch.column(1).flatten().to_numpy().astype(kind)
                 off = np.arange(batch.num_rows + 1, dtype=np.int32) * (dims * x.itemsize)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(x.tobytes())])], ["id", "vec"])
+                vec = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(off.tobytes()), pa.py_buffer(x.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0), vec, batch.column(2)], ["id", "vec", "q"])
 
-    rows = rows.where(F.size("v") == dims).mapInArrow(flat, "id long, vec binary")
-    return checkpointed(rows.groupBy("id").agg(F.min("vec").alias("vec"))), dims, kind
+    own = dict(rows.dtypes)["id"]
+    rows = rows.where(F.size("v") == dims).mapInArrow(flat, f"id {own}, vec binary, q boolean")
+    keys = row_keys(checkpointed(rows.groupBy("id", "vec").agg(F.max("q").alias("q"))), "id")
+    return Vectors(keys.docs.select(F.col(f"`{keys.key}`").alias("id"), "vec", "q"), dims, kind, keys)
 
 
 def matrix(column: pa.Array, dims: int, kind: str) -> np.ndarray:
@@ -80,6 +101,74 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 6) -> np.ndarray:
     return c
 
 
+class Tree:
+    """Hierarchical k-means in arrays: centres, and the range of each node's children; leaves are numbered so that
+    neighbours in the tree have near numbers.  A node of the sample x, that stands for n vectors, is split into
+    `branch` clusters until its share is under `leaf` vectors or it has no more than LEAST_SAMPLE sample vectors."""
+
+    LEAST_SAMPLE = 4
+
+    def __init__(self, x: np.ndarray, n: int, leaf: float, branch: int = 8) -> None:
+        self.centres, self.children, self.leaf = [x.mean(0)], [(0, 0)], [-1]
+        todo, leaves = [(0, x)], 0
+        while todo:
+            at, part = todo.pop()
+            parts = []
+            if len(part) * n / len(x) > leaf and len(part) > self.LEAST_SAMPLE:
+                c = kmeans(part, min(branch, len(part)))
+                near = squared(part, c).argmin(1)
+                parts = [part[near == i] for i in range(len(c)) if (near == i).any()]
+            if len(parts) < 2:
+                self.leaf[at], leaves = leaves, leaves + 1
+                continue
+            first = len(self.centres)
+            self.children[at] = (first, first + len(parts))
+            for p in parts:
+                todo.append((len(self.centres), p))
+                self.centres.append(p.mean(0))
+                self.children.append((0, 0))
+                self.leaf.append(-1)
+        self.centres, self.leaves = np.array(self.centres), leaves
+
+    def leaf_centres(self) -> np.ndarray:
+        out = np.empty((self.leaves, self.centres.shape[1]))
+        at = np.flatnonzero(np.array(self.leaf) >= 0)
+        out[np.array(self.leaf)[at]] = self.centres[at]
+        return out
+
+    def descend(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector."""
+        out = np.zeros(len(x), np.int32)
+        todo = [(0, np.arange(len(x)))]
+        while todo:
+            at, rows = todo.pop()
+            a, b = self.children[at]
+            if a == b:
+                out[rows] = self.leaf[at]
+                continue
+            near = squared(x[rows], self.centres[a:b]).argmin(1)
+            todo += [(a + i, rows[near == i]) for i in range(b - a) if (near == i).any()]
+        return out
+
+    def visits(self, q: np.ndarray, most: int) -> np.ndarray:
+        """The first leaves of each query, best bin first; -1 where there are no more.  Only the children of opened
+        nodes are compared, so a query costs its visits times the depth, not the size of the tree."""
+        out = np.full((len(q), most), -1, np.int32)
+        for i, x in enumerate(q):
+            heap, done = [(0.0, 0)], 0
+            while heap and done < most:
+                _, at = heapq.heappop(heap)
+                a, b = self.children[at]
+                if a == b:
+                    out[i, done] = self.leaf[at]
+                    done += 1
+                else:
+                    gap = self.centres[a:b] - x
+                    for c, d in enumerate(np.einsum("ij,ij->i", gap, gap).tolist(), a):
+                        heapq.heappush(heap, (d, c))
+        return out
+
+
 class Search:
     """The queries of one block and the best k of each so far."""
 
@@ -121,7 +210,7 @@ class Search:
         keep = rank < self.k
         self.found[who[keep], rank[keep]] = found[keep]
         self.dist[who[keep], rank[keep]] = dist[keep]
-        self.tau[rows] = self.dist[rows, -1]
+        self.tau[rows] = np.minimum(self.tau[rows], self.dist[rows, -1])
 
     def result(self) -> pa.RecordBatch:
         if self.q is None:
@@ -167,26 +256,22 @@ def block_search(dims: int, kind: str, k: int, prepare: Callable, wanted: Callab
     return run
 
 
-def searched(index: DataFrame, plan: DataFrame, run: Callable) -> DataFrame:
-    """index: (id, vec, cell, r, block, and extra bytes for its own queries); plan: (block, cell, turn, least,
-    most), the vectors that blocks pull."""
-    extra = F.col("extra") if "extra" in index.columns else F.lit(None).cast("binary").alias("extra")
-    own = index.select("block", F.lit(-1).alias("turn"), "cell", "r", "id", "vec", extra)
+def searched(index: DataFrame, asked: DataFrame, plan: DataFrame, run: Callable) -> DataFrame:
+    """index: (id, vec, cell, r); asked, the queries: (block, cell, r, id, vec, extra bytes); plan: (block, cell, turn,
+    least, most), the vectors that blocks pull."""
+    own = asked.select("block", F.lit(-1).cast("long").alias("turn"), "cell", "r", "id", "vec", "extra")
     pulled = plan.join(index.select("id", "vec", "cell", "r"), "cell").where("r BETWEEN least AND most").select("block", "turn", "cell", "r", "id", "vec", F.lit(None).cast("binary").alias("extra"))
     rows = own.unionByName(pulled).repartition("block").sortWithinPartitions("block", "turn", "r")
-    return rows.mapInArrow(run, "id long, rank int, neighbor long, distance double")
-
-
-def with_blocks(cells: DataFrame, sizes: dict[int, int]) -> DataFrame:
-    """Add block to (id, vec, cell, r): a cell's rows in blocks of about BLOCK, by hash."""
-    spark = cells.sparkSession
-    table = spark.createDataFrame([(c, -(-n // BLOCK)) for c, n in sizes.items()], "cell int, parts int")
-    return cells.join(F.broadcast(table), "cell").withColumn("block", F.col("cell").cast("long") * (1 << 24) + F.expr("pmod(xxhash64(id), parts)")).drop("parts")
+    return rows.mapInArrow(run, RESULT)
 
 
-def merged_blocks(cells: DataFrame, sizes: dict[int, int], most: int) -> DataFrame:
-    """Add block to (id, vec, cell, r): neighbouring cells together up to `most` rows, larger cells in parts by
-    hash.  What is pulled grows with the number of blocks, so they are as large as a task's memory allows."""
+def blocks(asked: DataFrame, dims: int, cells: int) -> DataFrame:
+    """Add block to queries (id, vec, cell, r): neighbouring cells together, larger cells in parts by hash.  What is
+    pulled grows with the number of blocks, so they are as large as a task's memory and the cores' number allow."""
+    spark = asked.sparkSession
+    sizes = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
+    most = min(BLOCK_BYTES // (8 * dims), BOUND_BYTES // (8 * cells), max(LEAST_BLOCK, -(-sum(sizes.values()) // spark.sparkContext.defaultParallelism)))
+    most = max(1, most)
     table, block, held = [], 0, 0
     for c in sorted(sizes):
         if held and held + sizes[c] > most:
@@ -194,5 +279,6 @@ def merged_blocks(cells: DataFrame, sizes: dict[int, int], most: int) -> DataFra
         parts = -(-sizes[c] // most)
         table.append((c, block, parts))
         block, held = (block + parts, 0) if parts > 1 else (block, held + sizes[c])
-    known = cells.sparkSession.createDataFrame(table, "cell int, base long, parts int")
-    return cells.join(F.broadcast(known), "cell").withColumn("block", F.col("base") + F.expr("pmod(xxhash64(id), parts)")).drop("base", "parts")
+    known = spark.createDataFrame(table, "cell int, base long, parts int")
+    # one row a cell, and cells are at most a quarter of SAMPLE
+    return asked.join(F.broadcast(known), "cell").withColumn("block", F.col("base") + F.expr("pmod(xxhash64(id), parts)")).drop("base", "parts")
