@@ -1,7 +1,7 @@
 """The corpus pipeline: toxicity, line dedup, near-dedup, mixing to target weights, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the
-columns of documents.  `run` writes each stage's result as Parquet to the shared folder that
+columns of documents, whatever others docs has beside them too.  `run` writes each stage's result as Parquet to the shared folder that
 spark.checkpoint.dir names and rereads it for the next one, so that a lost executor costs one
 stage's tasks and no stage is computed twice.
 """
@@ -17,27 +17,49 @@ from tidemark.llm.common import read, shared_checkpoints
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted to the labelled ones among them, doesn't reject."""
+    """The rows that the classifier, fitted to the labelled ones among them, doesn't call toxic.
+
+    Every row, repeated or without an id, is judged by its own whole text.  Null, empty and word-free texts stay;
+    a score at the threshold is toxic.  Without labels of both classes, and in an empty table, nothing goes.
+    """
     return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the blocks of lines that an earlier one has; wholly repeated ones go."""
-    return line_dedup.line_dedup(docs, whole=True)
+    """The rows without the blocks of lines that an earlier one, by id, has; wholly repeated texts go.
+
+    Rows that share an id are texts of their own, in the order of their content, so of equal rows one stays.  Null,
+    empty and blank texts and rows without an id stay as they are.  Long texts are read whole, in linear time.  An
+    empty table stays empty.
+    """
+    return line_dedup.line_dedup(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One row of each group of near duplicates, the first by id, and every row that is in no group.
+
+    Rows that share an id are texts of their own; equal ones are a group.  Null, empty and word-free texts and rows
+    without an id are in no group.  Long texts are compared whole.  An empty table stays empty.
+    """
     return minhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in training order, from natural to flattened source weights; scarce sources repeat."""
+    """Rows in training order, from natural to flattened source weights; rows of scarce sources repeat.
+
+    Every row is used at least once, rows that share an id each for itself.  A null source is one of its own.  Null
+    and empty texts have no tokens and the place of the next token; rows without an id come last.  Ties don't
+    occur: a source's rows are ordered by the hash of their id.  An empty table stays empty.
+    """
     return curriculum.mix(docs)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bins of tokens: every token of every row in one bin."""
+    """Bins of tokens: every token of every row with an id in one bin, of rows that share one each for itself.
+
+    Null, empty and blank texts have no tokens; a text longer than a bin fills bins of its own; ties in size go by
+    id.  An empty table gives no bins.
+    """
     return packing.pack(docs)
 
 
