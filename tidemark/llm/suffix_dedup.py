@@ -10,7 +10,8 @@ neighbours get a new rank; positions that are alone are unique and leave.
   names inside each text, in numpy.  Round zero sorts sampled (name, position) pairs only: in each
   run of L words the least name is an anchor; equal passages have equal anchors, so a position whose
   anchor is unique in the corpus is unique at L and leaves.  The sample follows content and loses
-  nothing.
+  nothing.  A text whose words are those of an earlier one is found by a hash of them all; all its
+  positions are known then, and it is one row in the rounds.
 * The first full round sorts pairs of names, all later ones pairs of ranks.
 * Where the two ranks of a pair are themselves that far apart in one document, the pair's first
   position is known without a sort: it is the first of the two ranks, and no other pair is equal to
@@ -36,6 +37,7 @@ from tidemark.llm.common import fresh, row_keys, text_of
 LENGTH = 50
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 RANKS = "id long, pos int, first_id long, first_pos int"
+PAIR_NAMES = ["a_id", "a_pos", "b_id", "b_pos", "id", "pos", "stop", "first_id", "first_pos"]
 PAIRS = "a_id long, a_pos int, b_id long, b_pos int, id long, pos int, stop int, first_id long, first_pos int"
 
 
@@ -58,7 +60,23 @@ def _anchors(texts: pa.Array, length: int) -> tuple[tk.Words, np.ndarray, np.nda
     return w, g, least
 
 
+def _copies(w: tk.Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, hash, second hash) of the whole word sequence of each text that has `length` words."""
+    n = np.diff(w.first)
+    doc = np.flatnonzero(n >= length)
+    if not len(doc):
+        return doc, np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    at = np.arange(len(w.hash)) - w.first[w.doc]
+    keep = n[w.doc] >= length
+    head = np.cumsum(n[doc]) - n[doc]
+    one, two = (tk.mix64(np.add.reduceat((w.hash * tk.powers(m, int(n.max()))[at])[keep], head) ^ n[doc].astype(np.uint64)) for m in (tk._MULT, tk._GRAM_MULT))
+    return doc, one, (two >> np.uint64(33)).astype(np.int32) | 1
+
+
 def anchor_rows(length: int):
+    """(rank, more, id, pos): anchors, whose `more` is 0, and one row a text for its whole sequence, with its words
+    counted below 0 in pos."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = length - rounds(length)[0] + 1
         for batch in batches:
@@ -72,10 +90,12 @@ def anchor_rows(length: int):
                 padded = np.zeros(len(g) + span - 1, np.uint64)
                 padded[span - 1 : span - 1 + len(least)] = np.where(ok, least, np.uint64(0))
                 at_word = np.flatnonzero(tk.sliding(np.maximum, padded, span) == g)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(g[at_word].view(np.int64)), ids.take(pa.array(at + w.doc[at_word])), pa.array((at_word - w.first[w.doc[at_word]]).astype(np.int32))],
-                    ["rank", "id", "pos"],
-                )
+                doc, one, two = _copies(w, length)
+                rank = np.concatenate([g[at_word], one]).view(np.int64)
+                more = np.concatenate([np.zeros(len(at_word), np.int32), two])
+                owner = np.concatenate([w.doc[at_word], doc])
+                pos = np.concatenate([at_word - w.first[w.doc[at_word]], -np.diff(w.first)[doc]]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(rank), pa.array(more), ids.take(pa.array(at + owner)), pa.array(pos)], ["rank", "more", "id", "pos"])
 
     return run
 
@@ -115,15 +135,19 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
 
 
 def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (rank, id, pos) -> the positions whose rank another one has."""
-    for rows, hit, *_ in _grouped(batches, ["rank"]):
-        kept = rows.filter(pa.array(hit)).combine_chunks()
-        if kept.num_rows:
-            yield pa.RecordBatch.from_arrays([kept.column(c).combine_chunks() for c in ("id", "pos")], ["id", "pos"])
+    """Rows sorted by (rank, more, id, pos) -> the anchors that another place has (copy_of null), and the texts whose
+    words are those of an earlier one."""
+    for rows, hit, first_id, _ in _grouped(batches, ["rank", "more"]):
+        ids, pos = (rows.column(c).to_numpy() for c in ("id", "pos"))
+        copy = pos < 0
+        keep = hit & (~copy | (ids != first_id))
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(pos[keep]), pa.array(first_id[keep], mask=~copy[keep])], ["id", "pos", "copy_of"])
 
 
 def pair_rows(length: int):
-    """(id, text, positions of repeated anchors) -> name pairs of every position that a later round needs."""
+    """(id, text, positions of repeated anchors, copy_of) -> name pairs of every position that a later round needs.
+    A text that is a copy has one row, with its words counted below 0 in pos."""
     steps = rounds(length)
     reach = {0}
     for h, wide in zip(steps[1:], steps[2:]):
@@ -133,6 +157,12 @@ def pair_rows(length: int):
         span = length - steps[0] + 1
         for batch in batches:
             batch = batch.filter(batch.column(2).is_valid())
+            copies = batch.filter(batch.column(3).is_valid())
+            if n := copies.num_rows:
+                pos = np.fromiter((a[0].as_py() for a in copies.column(2)), np.int32, n)
+                name = tk.mix64(copies.column(0).to_numpy().view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(pos), copies.column(0), pa.array(pos), copies.column(3)], ["r1", "r2", "id", "pos", "copy_of"])
+            batch = batch.filter(batch.column(3).is_null())
             ids, anchors = batch.column(0), batch.column(2)
             for at, texts in tk.chunked(batch.column(1)):
                 w, g, least = _anchors(texts, length)
@@ -148,22 +178,35 @@ def pair_rows(length: int):
                 for lo in range(0, len(left), 1 << 16):
                     i = left[lo : lo + (1 << 16)]
                     other = (g[i + steps[1] - steps[0]] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(g[i].view(np.int64)), pa.array(other), ids.take(pa.array(at + w.doc[i])), pa.array((i - w.first[w.doc[i]]).astype(np.int32))], ["r1", "r2", "id", "pos"])
+                    yield pa.RecordBatch.from_arrays([pa.array(g[i].view(np.int64)), pa.array(other), ids.take(pa.array(at + w.doc[i])), pa.array((i - w.first[w.doc[i]]).astype(np.int32)), pa.nulls(len(i), pa.int64())], ["r1", "r2", "id", "pos", "copy_of"])
 
     return run
 
 
 def first_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (r1, r2, id, pos) -> ranks of those that aren't alone."""
-    for rows, hit, first_id, first_pos in _grouped(batches, ["r1", "r2"]):
+    """Rows sorted by (r1, r2, id, pos) -> ranks of those that aren't alone, and the copies."""
+
+    def names():
+        for batch in batches:
+            copy = batch.column("copy_of").is_valid()
+            if (known := batch.filter(copy)).num_rows:
+                yield (pa.RecordBatch.from_arrays([known.column("id"), known.column("pos"), known.column("copy_of"), pa.array(np.zeros(known.num_rows, np.int32))], ["id", "pos", "first_id", "first_pos"]),)
+            yield batch.filter(pc.invert(copy)).select(["r1", "r2", "id", "pos"])
+
+    for rows, *found in _grouped(names(), ["r1", "r2"]):
+        if not found:
+            yield rows
+            continue
+        hit, first_id, first_pos = found
         if hit.any():
             ids, pos = (rows.column(c).to_numpy()[hit] for c in ("id", "pos"))
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(pos), pa.array(first_id[hit]), pa.array(first_pos[hit].astype(np.int32))], ["id", "pos", "first_id", "first_pos"])
 
 
-def paired(offset: int, last: bool):
+def paired(offset: int, length: int, last: bool):
     """Ranks sorted by (id, pos) -> pairs of ranks `offset` apart.  Pairs whose first position is known have no
-    a and b but that first position; in the last round they come as runs [pos, stop) that move in step."""
+    a and b but that first position; in the last round they come as runs [pos, stop) that move in step, and copies as
+    the run of all their starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -175,6 +218,13 @@ def paired(offset: int, last: bool):
             n = len(now[0]) if batch is None else int(np.searchsorted(now[0], now[0][-1]))
             rest = [c[n:] for c in now]
             ids, pos, fid, fpos = (c[:n].astype(np.int64) for c in now)
+            copy = np.flatnonzero(pos < 0)
+            if len(copy):
+                none, zero = [pa.nulls(len(copy), t) for t in (pa.int64(), pa.int32())] * 2, np.zeros(len(copy), np.int32)
+                start, stop = (zero, 1 - length - pos[copy]) if last else (pos[copy], pos[copy])
+                yield pa.RecordBatch.from_arrays([*none, pa.array(ids[copy]), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), pa.array(fid[copy]), pa.array(zero)], PAIR_NAMES)
+                ids, pos, fid, fpos = (c[pos >= 0] for c in (ids, pos, fid, fpos))
+                n = len(ids)
             if not n:
                 continue
             doc = np.cumsum(np.concatenate([[0], ids[1:] != ids[:-1]]))
@@ -201,7 +251,7 @@ def paired(offset: int, last: bool):
                     none = pa.nulls(len(k), pa.int64()), pa.nulls(len(k), pa.int32())
                     a = (pa.array(fid[k]), pa.array(fpos[k].astype(np.int32)), pa.array(fid[t]), pa.array(fpos[t].astype(np.int32))) if pair else none * 2
                     f = none if pair else (pa.array(fid[k]), pa.array(fpos[k].astype(np.int32)))
-                    yield pa.RecordBatch.from_arrays([*a, pa.array(ids[k]), pa.array(pos[k].astype(np.int32)), pa.array(end[lo : lo + (1 << 16)].astype(np.int32)), *f], ["a_id", "a_pos", "b_id", "b_pos", "id", "pos", "stop", "first_id", "first_pos"])
+                    yield pa.RecordBatch.from_arrays([*a, pa.array(ids[k]), pa.array(pos[k].astype(np.int32)), pa.array(end[lo : lo + (1 << 16)].astype(np.int32)), *f], PAIR_NAMES)
 
     return run
 
@@ -274,20 +324,22 @@ def _repeats(docs: DataFrame, length: int, key: str, text_col: str, wide: bool =
         raise ValueError("length must be positive")
     steps = rounds(length)
     read = docs.select(F.col(f"`{key}`").alias("id"), text_of(text_col).alias("text")).where("id IS NOT NULL")
-    first = read.mapInArrow(anchor_rows(length), "rank long, id long, pos int")
-    live = first.repartition("rank").sortWithinPartitions("rank", "id", "pos").mapInArrow(repeated, "id long, pos int")
-    live = live.groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("anchors"))
+    first = read.mapInArrow(anchor_rows(length), "rank long, more int, id long, pos int")
+    live = first.repartition("rank").sortWithinPartitions("rank", "more", "id", "pos").mapInArrow(repeated, "id long, pos int, copy_of long")
+    live = live.groupBy("id").agg(F.sort_array(F.collect_list("pos")).alias("anchors"), F.min("copy_of").alias("copy_of"))
     if wide:
-        name, anchors, mine, body = fresh(docs, "tm_id", "tm_anchors", "tm_mine", "tm_body")
-        left = docs.join(live.toDF(name, anchors).hint("shuffle_hash"), F.col(f"`{key}`") == F.col(name), "left")
-        left = left.select(F.col(f"`{key}`").alias(mine), text_of(text_col).alias(body), anchors, *[f"`{c}`" for c in docs.columns])
+        name, anchors, copy, mine, body = fresh(docs, "tm_id", "tm_anchors", "tm_copy", "tm_mine", "tm_body")
+        left = docs.join(live.toDF(name, anchors, copy).hint("shuffle_hash"), F.col(f"`{key}`") == F.col(name), "left")
+        left = left.select(F.col(f"`{key}`").alias(mine), text_of(text_col).alias(body), anchors, copy, *[f"`{c}`" for c in docs.columns])
     else:
-        left = read.join(live.hint("shuffle_hash"), "id").select("id", "text", "anchors")
-    pairs = left.mapInArrow(pair_rows(length), "r1 long, r2 int, id long, pos int")
+        left = read.join(live.hint("shuffle_hash"), "id").select("id", "text", "anchors", "copy_of")
+    pairs = left.mapInArrow(pair_rows(length), "r1 long, r2 int, id long, pos int, copy_of long")
     ranks = pairs.repartition("r1", "r2").sortWithinPartitions("r1", "r2", "id", "pos").mapInArrow(first_ranks, RANKS)
-    done = ranks.selectExpr("id", "pos", "pos + 1 AS stop", "first_id", "first_pos")
+    # where there is one round only, its ranks are the runs, and copies all their starts
+    copy = F.col("pos") < 0
+    done = ranks.select("id", F.when(copy & F.lit(len(steps) == 2), 0).otherwise(F.col("pos")).alias("pos"), F.when(copy, 1 - length - F.col("pos")).otherwise(F.col("pos") + 1).alias("stop"), "first_id", "first_pos")
     for h, wider in zip(steps[1:], steps[2:]):
-        rows = done.select("id", "pos", "first_id", "first_pos").repartition("id").sortWithinPartitions("id", "pos").mapInArrow(paired(wider - h, wider == length), PAIRS)
+        rows = done.select("id", "pos", "first_id", "first_pos").repartition("id").sortWithinPartitions("id", "pos").mapInArrow(paired(wider - h, length, wider == length), PAIRS)
         # known pairs pass the sort by: they are spread by their own place
         where = F.when(F.col("a_id").isNull(), F.xxhash64("id", "pos")).otherwise(F.xxhash64("a_id", "a_pos", "b_id", "b_pos"))
         rows = rows.repartition(where).sortWithinPartitions("a_id", "a_pos", "b_id", "b_pos", "id", "pos")
@@ -304,7 +356,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     are texts of their own, in the order of their content, and each has its spans.  Texts are read whole, however
     long; ties don't occur.  An empty table gives an empty result; other columns aren't read.
     """
-    k = row_keys(docs, id_col)
+    k = row_keys(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), id_col)
     hits = _repeats(k.docs, length, k.key, text_col)
     # a run and the place that it repeats; many repeat the same place, which is sent once a task
     both = F.array(F.struct("id", F.col("pos").alias("start"), "stop", F.lit(True).alias("later")), F.struct(F.col("first_id").alias("id"), F.col("first_pos").alias("start"), (F.col("first_pos") + F.col("stop") - F.col("pos")).alias("stop"), F.lit(False).alias("later")))
