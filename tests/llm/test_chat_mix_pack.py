@@ -1,10 +1,12 @@
 """Tool-call linking, mixing, packing, the pipeline and the SQL of the queries."""
 
+import itertools
 import json
 import random
 
 import pytest
 
+from tests.llm.brute import least_bins, near_groups, shared_lines, toxic_scores, uses, without_lines
 from tests.llm.helpers import DOCS, awkward, docs, rows, words
 from tidemark.llm import curriculum, packing, tool_calls
 
@@ -107,6 +109,36 @@ def test_local_search_empties_bins():
     assert packing._exchange([1, 0], [2], [3, 4, 5], 2) == ([0, 1], [2])
 
 
+def exchanges(a, b, sizes, free):
+    """Every move or exchange from bin a to bin b, of up to two for up to two but two for two, that gains tokens and fits."""
+    some = lambda x, n: [c for k in range(n + 1) for c in itertools.combinations(x, k)]
+    return [(g, t) for g in some(a, 2) for t in some(b, 2) if g and (len(g), len(t)) != (2, 2) and 0 < sum(sizes[i] for i in g) - sum(sizes[i] for i in t) <= free]
+
+
+def test_packing_against_all_packings():
+    r = random.Random(12)
+    optimal = 0
+    for _ in range(150):
+        sizes = [r.randrange(1, 60) for _ in range(r.randrange(1, 10))]
+        bins = packing.local_search(packing.best_fit(sizes, 100), sizes, 100)
+        assert sorted(i for b in bins for i in b) == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= 100 for b in bins)
+        best = least_bins(sizes, 100)
+        assert len(bins) <= best + 1
+        optimal += len(bins) == best
+        if len(bins) > -(-sum(sizes) // 100) and len(bins) > 1:
+            fill = lambda b: sum(sizes[i] for i in b)  # noqa: B023, E731
+            last = min(bins, key=fill)
+            assert not any(exchanges(last, b, sizes, 100 - fill(b)) for b in bins if b is not last and fill(b) >= fill(last))
+    assert optimal >= 145
+
+
+def test_packed_table_against_all_packings(spark):
+    r = random.Random(13)
+    data = [(i, words(r.randrange(1, 80), i)) for i in range(9)]
+    got = rows(packing.pack(docs(spark, data), 100))
+    assert len(got) == least_bins([len(t.split()) for _, t in data], 100)
+
+
 def test_packing_awkward(spark):
     for wide in (False, True):
         got = rows(packing.pack(docs(spark, awkward(), wide)))
@@ -151,6 +183,61 @@ def test_pipeline(spark, folder):
     assert sorted(map(str, cp.run(spark, folder).collect())) == sorted(map(str, state.collect()))
 
 
+def test_pipeline_against_brute_force(spark, folder):
+    """Every stage by a plain version over all documents and pairs; of packing, its pieces."""
+    import corpus_pipeline as cp
+    from tests.llm.test_models import hashes
+
+    table = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    toxic = toxic_scores({i: t for i, t, _ in table}, labels, hashes(spark, [i for i, *_ in table]))
+    kept = sorted((i, t) for i, t, _ in table if not toxic[i][1])
+    kept = sorted(without_lines(kept, shared_lines(kept)).items())
+    label = near_groups(kept)
+    kept = {i: len(t.split()) for i, t in kept if label.get(i, i) == i}
+    source = {i: s for i, _, s in table}
+    supply = {s: sum(n for i, n in kept.items() if source[i] == s) for s in {source[i] for i in kept}}
+    due = uses(supply)
+    got = {}
+    for r in cp.run(spark, folder).collect():
+        assert r.tokens == sum(r.sizes) <= packing.CAPACITY
+        for i, a, n in zip(r.doc_ids, r.starts, r.sizes):
+            assert (a, n) == (0, kept[i])
+            got[i] = got.get(i, 0) + 1
+    assert got.keys() == kept.keys()
+    for s in supply:
+        # whole passes, then documents until the demand is met: the last one may go beyond it
+        total = sum(got[i] * kept[i] for i in kept if source[i] == s)
+        assert due[s] <= total < due[s] + max(kept[i] for i in kept if source[i] == s)
+        turns = {got[i] for i in kept if source[i] == s}
+        assert max(turns) - min(turns) <= 1
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_awkward_rows_and_empty_tables(spark, tmp_path, stage):
+    import corpus_pipeline as cp
+
+    spark.createDataFrame([(5, 1, 1), (10, 0, 0), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    f = cp.STAGES[stage][1]
+    for wide in (False, True):
+        data = docs(spark, awkward(), wide)
+        out = f(spark, data, str(tmp_path))
+        got = out.collect()
+        if stage < 4:
+            assert out.columns == data.columns
+            ids = [r.doc_id for r in got]
+            assert {1, 2, 3, 4, 8, None} <= set(ids) and ids.count(None) == 2 and ids.count(10) >= (1 if stage == 0 else 2)
+    assert f(spark, spark.createDataFrame([], DOCS), str(tmp_path)).collect() == []
+
+
+def test_pipeline_of_an_empty_corpus(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert cp.run(spark, str(tmp_path)).collect() == []
+
+
 @pytest.mark.parametrize("name", ["op1_lines", "op2_topk", "op3_tools", "op6_suffix", "op7_mixing"])
 def test_sql(spark, name):
     import duckdb

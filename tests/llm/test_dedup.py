@@ -2,18 +2,14 @@
 
 import itertools
 import random
-import re
 
 import pytest
 
+from tests.llm.brute import near_groups, shared_lines, tokens, without_lines
 from tests.llm.helpers import DOCS, awkward, docs, rows, words
 from tidemark.llm import line_dedup, minhash, suffix_dedup
 
 
-def tokens(text):
-    return re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", (text or "").lower())
-
-
 def corpus(seed=1):
     r = random.Random(seed)
     out = []
@@ -32,18 +28,30 @@ def corpus(seed=1):
 
 def test_near_duplicates_are_the_components_of_similar_pairs(spark):
     data = corpus()
-    sets = {i: {tuple(w[k : k + 3]) for k in range(len(w) - 2)} for i, w in ((i, tokens(t)) for i, t in data)}
-    label = {i: i for i in sets}
-    for _ in range(len(sets)):
-        for a, b in itertools.combinations(sets, 2):
-            if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b]):
-                label[a] = label[b] = min(label[a], label[b])
+    label = near_groups(data)
     want = {(i, g) for i, g in label.items() if i != g}
     assert set(rows(minhash.near_duplicates(docs(spark, data)))) == want
     kept = {r.doc_id for r in minhash.drop_near_duplicates(docs(spark, data, wide=True)).collect()}
     assert kept == {i for i, g in label.items() if i == g}
 
 
+def test_a_bucket_of_unlike_documents_is_not_multiplied(spark):
+    """Half of each text is a template: all share buckets, few are similar, and few are compared."""
+    template = words(60, 1)
+    data = [(i, f"{template} {words(60, 100 + i, 5000)}") for i in range(150)]
+    data += [(200 + i, data[i * 7][1] + f" tail {i}") for i in range(20)]
+    texts = spark.createDataFrame(data, "id long, text string")
+    pairs = set(rows(minhash.prefix_pairs(texts, texts.selectExpr("id", "id AS label"), 3, 0.6)))
+    label = near_groups(data)
+    assert {(200 + i, i * 7) for i in range(20)} <= pairs and len(pairs) < 600
+    assert set(rows(minhash.near_duplicates(docs(spark, data)))) == {(i, g) for i, g in label.items() if i != g}
+    r = random.Random(3)
+    mixed = [(i, " ".join(r.choices("abcdef", k=r.randrange(1, 30)))) for i in range(120)]
+    found = set(rows(minhash.prefix_pairs(*(spark.createDataFrame(mixed, "id long, text string").selectExpr("id", x) for x in ("text", "id AS label")), 2, 0.5)))
+    sets = {i: {tuple(t.split()[k : k + 2]) for k in range(len(t.split()) - 1)} or {tuple(t.split())} for i, t in mixed}
+    assert {(a, b) for a in sets for b in sets if a > b and len(sets[a] & sets[b]) >= 0.5 * len(sets[a] | sets[b])} <= found
+
+
 def test_sketch_fills_every_bin_and_estimates_similarity():
     import numpy as np
 
@@ -126,15 +134,6 @@ def aligned_with_all(data, least=line_dedup.LEAST_BLOCK):
     return cut
 
 
-def written(data, cut):
-    out = {}
-    for i, t in data:
-        left = "\n".join(x for k, x in enumerate(t.split("\n")) if k not in cut.get(i, ()))
-        if left.strip() or not cut.get(i):
-            out[i] = left
-    return out
-
-
 def test_no_holder_is_left_out(spark):
     """Blocks that only documents between the first and the nearest holder share, and blocks of short lines."""
     a, b = "a" * 29, "b" * 29
@@ -142,7 +141,7 @@ def test_no_holder_is_left_out(spark):
     short = "\n".join(f"short {k:05d}" for k in range(20))
     data += [(6, short), (7, short)]
     got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data)).collect()}
-    want = written(data, aligned_with_all(data))
+    want = without_lines(data, aligned_with_all(data))
     assert got == want and got[5] == "z5" and 7 not in got
 
 
@@ -157,10 +156,10 @@ def test_lines_are_cut_from_the_later_document(spark):
             r.shuffle(lines)
         data.append((i, "\n".join(lines)))
     data.append((60, max((t for _, t in data), key=len)))
-    shared, aligned = shared_runs(data), aligned_with_all(data)
+    shared, aligned = shared_lines(data), aligned_with_all(data)
     assert any(aligned.values()) and all(shared[i] >= c for i, c in aligned.items())
     got = {x.doc_id: x.text for x in line_dedup.line_dedup(docs(spark, data)).collect()}
-    assert got == written(data, shared) and 60 not in got
+    assert got == without_lines(data, shared) and 60 not in got
 
 
 def test_many_shared_lines_are_rewritten_in_linear_time(spark):
@@ -189,20 +188,6 @@ def test_the_query_deletes_repeats(spark, tmp_path):
     assert sum(map(len, want.values())) < sum(len(tokens(t)) for _, t in data)
 
 
-def shared_runs(data, least=line_dedup.LEAST_BLOCK):
-    """Lines in a run of `least` bytes that an earlier text has too, over all pairs of texts."""
-    seq = {i: [x.strip() for x in t.split("\n")] for i, t in data}
-    cut = {i: set() for i in seq}
-    for b, a in itertools.product(seq, seq):
-        for i, j in itertools.product(range(len(seq[b])), range(len(seq[a]))) if a < b else ():
-            n = 0
-            while i + n < len(seq[b]) and j + n < len(seq[a]) and seq[b][i + n] == seq[a][j + n]:
-                n += 1
-            if sum(len(x.encode()) for x in seq[b][i : i + n]) >= least:
-                cut[b].update(range(i, i + n))
-    return cut
-
-
 def test_every_earlier_holder_of_a_block_counts(spark):
     p, q = "p" * 30, "q" * 30
     data = [(0, f"{p}\n{q}")] + [(i, f"{q}\n{p}\nown {i}") for i in range(1, 13)]
@@ -214,7 +199,7 @@ def test_every_earlier_holder_of_a_block_counts(spark):
         if r.random() < 0.4:
             r.shuffle(lines)
         data.append((i, "\n".join(lines)))
-    want = shared_runs(data)
+    want = shared_lines(data)
     assert all(want[b] >= c for b, c in aligned_with_all(data).items())
     got = {x.id: {k for k, m in enumerate(x.mask) if m} for x in line_dedup.deleted_lines(docs(spark, data)).collect()}
     assert got == {i: c for i, c in want.items() if c}

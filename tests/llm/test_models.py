@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
+from tests.llm.brute import language_model, language_of, segmentations, toxic_scores
 from tests.llm.helpers import DOCS, awkward, docs, rows, words
 from tidemark.llm import language_id, toxicity
 from tidemark.llm import textkit as tk
@@ -13,12 +14,12 @@ from tidemark.llm import textkit as tk
 LABELS = "doc_id long, quality int, toxic int"
 
 
-def labelled(spark, n=400):
+def labelled(spark, n=400, size=400):
     r = random.Random(3)
     data, labels = [], []
     for i in range(n):
         bad = i % 5 == 0
-        w = words(r.randrange(20, 200), i).split()
+        w = words(r.randrange(20, 200), i, size).split()
         if bad:
             for _ in range(3):
                 w.insert(r.randrange(len(w)), r.choice(["vile", "scumbag", "rotten"]))
@@ -60,6 +61,22 @@ def test_ftrl_matches_the_textbook_update():
     assert np.allclose(got, [weight(i) for i in range(5)])
 
 
+def hashes(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "id long").selectExpr("id", "pmod(xxhash64(id), 9223372036854775807) AS h")
+    return {r.id: r.h for r in df.collect()}
+
+
+def test_toxicity_equals_a_plain_version(spark):
+    data, labels = labelled(spark, 240, 20)  # so few features that no two share a place
+    extra = docs(spark, [(900, ""), (901, "vile, VILE scumbag!"), (902, "w1 w2 w3"), (903, None)])
+    texts = {r.doc_id: r.text for r in data.unionByName(extra).collect()}
+    y = {r.doc_id: r.toxic for r in labels.collect()}
+    want = toxic_scores(texts, y, hashes(spark, texts), l1=3.0)
+    got = {r.doc_id: (r.score, r.toxic) for r in toxicity.toxicity(data.unionByName(extra), labels, l1=3.0).collect()}
+    assert got.keys() == want.keys() and len({t for _, t in want.values()}) == 2
+    assert all(math.isclose(got[i][0], want[i][0], rel_tol=1e-4, abs_tol=1e-6) and got[i][1] == want[i][1] for i in want)
+
+
 def test_toxicity_awkward_rows(spark):
     _, labels = labelled(spark, 10)
     for wide in (False, True):
@@ -93,6 +110,42 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(got[k, x], f[-1], rel_tol=1e-9)
 
 
+def test_words_sum_all_their_segmentations():
+    pieces = sorted({bytes([b]) for b in b" abc"} | {b" a", b"ab", b"abc", b"bc", b" abca", b"ca"})
+    known = language_id.Pieces(pieces)
+    r = random.Random(1)
+    p = np.array([[r.uniform(0.01, 0.4), r.uniform(0.01, 0.4)] for _ in pieces])
+    words_ = ["".join(r.choices("abc", k=n)).encode() for n in range(1, 11)]
+    end = np.cumsum([len(w) for w in words_])
+    got = language_id.word_logs(known, p * (language_id.SCALE**known.sizes)[:, None], np.frombuffer(b"".join(words_), np.uint8), end - [len(w) for w in words_], end)
+    for k, w in enumerate(words_):
+        ways = segmentations(b" " + w, pieces)
+        for x in range(2):
+            assert math.isclose(got[k, x], math.log(sum(math.prod(p[pieces.index(q), x] for q in way) for way in ways)), rel_tol=1e-9)
+
+
+def test_languages_equal_an_enumeration(spark, monkeypatch):
+    pieces = sorted({bytes([b]) for b in b" abcd"} | {b" ab", b"cd", b"abc", b"dd", b" c", b"ba"})
+    monkeypatch.setattr(language_id, "load", lambda path: pieces)
+    r = random.Random(9)
+    style = {"x": "aabbbc", "y": "ccdda", "z": "abcd"}
+    data = [(i, " ".join("".join(r.choices(style[lang], k=r.randrange(1, 7))) for _ in range(r.randrange(1, 9))), lang if i < 60 else None, "s") for i in range(90) for lang in [r.choice("xyz")]]
+    models = {x: language_model([t for _, t, lang, _ in data if lang == x], pieces, 3, 0.05) for x in style}
+    got = {q.doc_id: q for q in language_id.languages(docs(spark, data), rounds=3).collect()}
+    for i, t, *_ in data:
+        lang, margin = language_of(t, models, pieces)
+        assert got[i].language == lang and math.isclose(got[i].margin, margin, rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_every_piece_of_the_vocabulary_counts():
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=language_id.VOCABULARY)
+    names = {sp.id_to_piece(k).lower().replace("▁", " ").encode() for k in range(sp.get_piece_size()) if not (sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k))}
+    inside = {x for x in names if x and x.rfind(b" ") < 1 and all(tk._WORD_BYTE[b] for b in x.lstrip(b" "))}
+    assert inside <= set(language_id.load())
+
+
 def test_em_never_lowers_the_likelihood():
     pieces = sorted({bytes([b]) for b in b" abcd"} | {b" ab", b"cd", b"abc"})
     known = language_id.Pieces(pieces)

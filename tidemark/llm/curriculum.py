@@ -80,13 +80,17 @@ def positions(docs: DataFrame, schedule: Schedule | None = None, id_col: str = "
     Rows without an id aren't placed.  An empty table gives an empty result; other columns aren't read.
     The schedule is held by source on the driver, so sources must be as few as a person can weigh.
     """
-    k = row_keys(docs, id_col)
-    return k.named(_positions(k.docs, k.key, schedule, text_col, source_col), "doc_id")
+    # rows are keyed after their tokens are counted, so that no text is written
+    k = row_keys(_counted(docs, id_col, text_col, source_col))
+    return k.named(_positions(k.docs.select(F.col(k.key).alias("doc_id"), "source", "tokens"), schedule), "doc_id")
+
+
+def _counted(docs: DataFrame, key: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("source"), token_count(text_of(text_col)).alias("tokens")).where("doc_id IS NOT NULL")
 
 
-def _positions(docs: DataFrame, key: str, schedule: Schedule | None, text_col: str, source_col: str) -> DataFrame:
-    spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("source"), token_count(text_of(text_col)).alias("tokens")).where("doc_id IS NOT NULL")
+def _positions(rows: DataFrame, schedule: Schedule | None) -> DataFrame:
+    spark = rows.sparkSession
     rows = checkpointed(rows.withColumn("hash", F.md5(F.col("doc_id").cast("string"))).withColumn("bucket", F.substring("hash", 1, 4)))
     sums = rows.groupBy("source", "bucket").agg(F.sum("tokens").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -112,7 +116,7 @@ def mix(docs: DataFrame, schedule: Schedule | None = None, id_col: str = "doc_id
     rows without an id come last, once, and other columns may have any name."""
     k = row_keys(docs, id_col)
     key, at, used = fresh(k.docs, "tm_id", "tm_position", "tm_used")
-    placed = _positions(k.docs, k.key, schedule, text_col, source_col).select(F.col("doc_id").alias(key), F.col("position").alias(at))
+    placed = _positions(_counted(k.docs, k.key, text_col, source_col), schedule).select(F.col("doc_id").alias(key), F.col("position").alias(at))
     placed = placed.groupBy(key).agg(F.collect_list(at).alias(at))
     joined = k.docs.join(placed.hint("shuffle_hash"), F.col(f"`{k.key}`") == F.col(key), "left").withColumn(used, F.col(key).isNotNull() | F.col(f"`{k.key}`").isNull()).where(F.col(used))
     joined = joined.withColumn(at, F.explode_outer(at))

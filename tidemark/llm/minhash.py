@@ -9,9 +9,11 @@ Thorup, "Fast Similarity Sketching", 2017).
 
 Banding.  Documents whose `rows` bins of a band agree share a bucket.  Texts with equal
 shingle sets are first folded to the least doc_id, so copies in thousands cost one row.
-Each bucket's members are verified against its least member; then every pair of a bucket
-that is still in different groups is verified too, so the groups are those that all
-bucket pairs would give, while a bucket of n copies costs n - 1 comparisons.
+Each bucket's members are verified against its least member, so a bucket of n near copies
+costs n - 1 comparisons.  Where a bucket's members are still in different groups, no bucket
+is multiplied with itself: similar sets share one of their rarest shingles (prefix filter,
+which loses no pair), so only documents that share such a shingle are compared.  The groups
+are those that all pairs of all buckets would give.
 
 Verification is exact: Jaccard similarity of the whole texts' shingle sets.
 """
@@ -127,6 +129,37 @@ def jaccard(size: int, threshold: float):
     return run
 
 
+def shingle_rows(size: int):
+    """(id, label, text) -> (id, label, n, shingle): each of the n shingles of a text once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, texts in tk.chunked(batch.column(2)):
+                doc, h = shingle_sets(texts, size)
+                n = np.bincount(doc, minlength=len(texts)).astype(np.int32)
+                rows = pa.array(at + doc)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(n[doc]), pa.array(h.view(np.int64))], ["id", "label", "n", "shingle"])
+
+    return run
+
+
+def prefix_pairs(texts: DataFrame, labels: DataFrame, shingle: int, threshold: float) -> DataFrame:
+    """(u, v), u > v: candidates among the labelled documents (id, label) with different labels; all pairs whose
+    similarity is at least `threshold` are among them.
+
+    Two sets of which the larger has n elements share threshold * n of them at least, so if all sets are ordered the
+    same way, each has a shared element among its first n - ceil(threshold * n) + 1.  The order is from the rarest
+    shingle on; shingles of one document only take places there but pair nothing, so they aren't shuffled on."""
+    rows = texts.join(labels.hint("shuffle_hash"), "id").select("id", "label", "text").mapInArrow(shingle_rows(shingle), "id long, label long, n int, shingle long")
+    shared = checkpointed(rows.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1"))
+    mine = rows.join(shared.hint("merge"), "shingle").groupBy("id", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("common"))
+    reach = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("common"))
+    first = mine.where(reach > 0).select("id", "label", F.explode(F.slice("common", F.lit(1), reach.cast("int"))).alias("s")).select("id", "label", F.col("s.shingle").alias("shingle"))
+    first = checkpointed(first)
+    pairs = first.alias("x").join(first.alias("y"), F.expr("x.shingle = y.shingle AND x.label <> y.label AND x.id > y.id"))
+    return pairs.select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, duplicate_of) for every document of a group but its least doc_id, which is duplicate_of.
 
@@ -136,7 +169,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one are documents of their own, so that a row can be a duplicate of another of its id.  Ties don't occur.
     An empty table gives an empty result; other columns aren't read.
     """
-    k = row_keys(docs, id_col)
+    k = row_keys(docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), id_col)
     return k.named(_near(k.docs, k.key, text_col, shingle, threshold, bands, rows), "doc_id", "duplicate_of")
 
 
@@ -165,8 +198,8 @@ def _near(docs: DataFrame, key: str, text_col: str, shingle: int, threshold: flo
     group = member.select("id", "band").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = group.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band")
     group = group.join(mixed, "band", "left_semi")
-    more = group.alias("x").join(group.alias("y"), F.expr("x.band = y.band AND x.label <> y.label AND x.id > y.id"))
-    more = checkpointed(more.select(F.col("x.id").alias("u"), F.col("y.id").alias("v")).distinct().join(tried, ["u", "v"], "left_anti"))
+    left = checkpointed(group.select("id", "label").distinct())
+    more = checkpointed(prefix_pairs(texts, left, shingle, threshold).join(tried, ["u", "v"], "left_anti"))
     if not more.isEmpty():
         edges = edges.unionByName(verified(more).select("u", "v"))
         label = components(edges)

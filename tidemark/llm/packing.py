@@ -9,8 +9,8 @@ increases the sum of squared fill, so that the emptiest bins run empty:
 * one for one: a piece changes places with a smaller one of a fuller bin;
 * two for one and one for two: the same with two pieces on either side.
 
-The search ends at the least possible number of bins, or where no exchange from the emptiest
-bin is left.  Groups are independent, so at most one bin or so of each stays underfull.
+The search ends at the least possible number of bins, or where no exchange from any bin to a
+fuller one is left.  Groups are independent, so at most one bin or so of each stays underfull.
 """
 
 from __future__ import annotations
@@ -63,32 +63,36 @@ def _exchange(a: list[int], b: list[int], sizes: list[int], free: int) -> tuple[
 
 
 def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Passes over the bins, from the emptiest on, until the least possible number or a pass without any exchange."""
     bins = [list(b) for b in bins if b]
     least = -(-sum(sizes) // capacity)
-    stuck: list[list[int]] = []
     fill = lambda b: sum(sizes[i] for i in b)
-    while len(bins) > 1 and len(bins) + len(stuck) > least:
-        bins.sort(key=lambda b: (-fill(b), b))
-        a = bins.pop()
-        moved = False
-        for b in bins:
-            free = capacity - fill(b)
-            if free and (found := _exchange(a, b, sizes, free)):
-                out, back = found
-                for i in out:
-                    a.remove(i)
-                for j in back:
-                    b.remove(j)
-                a += back
-                b += out
-                moved = True
-                if not a:
-                    break
-        if a and moved:
-            bins.append(a)
-        elif a:
-            stuck.append(a)
-    return bins + stuck
+    changed = True
+    while changed and len(bins) > least:
+        changed, stuck = False, []
+        while len(bins) > 1 and len(bins) + len(stuck) > least:
+            bins.sort(key=lambda b: (-fill(b), b))
+            a = bins.pop()
+            moved = False
+            for b in bins:
+                free = capacity - fill(b)
+                if free and (found := _exchange(a, b, sizes, free)):
+                    out, back = found
+                    for i in out:
+                        a.remove(i)
+                    for j in back:
+                        b.remove(j)
+                    a += back
+                    b += out
+                    changed = moved = True
+                    if not a:
+                        break
+            if a and moved:
+                bins.append(a)
+            elif a:
+                stuck.append(a)
+        bins += stuck
+    return bins
 
 
 def pack_group(capacity: int):
@@ -121,9 +125,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP, id_col:
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    k = row_keys(docs, id_col)
-    name, key = F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{k.key}`").alias("key")
-    rows = checkpointed(k.docs.select(name, key, token_count(text_of(text_col)).alias("n")).where("doc_id IS NOT NULL AND n > 0"))
+    # rows are keyed after their tokens are counted, so that no text is written
+    k = row_keys(docs.select(F.col(f"`{id_col}`").alias("doc_id"), token_count(text_of(text_col)).alias("n")).where("doc_id IS NOT NULL"))
+    rows = checkpointed(k.docs.select("doc_id", F.col(k.key).alias("key"), "n").where("n > 0"))
     full = rows.where(f"n >= {capacity}").withColumn("part", F.explode(F.expr(f"sequence(0, cast(n DIV {capacity} AS int) - 1)")))
     full = full.select(F.format_string("d%d-%d", "key", "part").alias("bin"), F.array("doc_id").alias("doc_ids"), F.array((F.col("part") * capacity).cast("long")).alias("starts"), F.array(F.lit(capacity).cast("long")).alias("sizes"), F.lit(capacity).cast("long").alias("tokens"))
     rest = rows.where(f"n % {capacity} > 0").selectExpr("doc_id", "key", f"n % {capacity} AS size", f"n - n % {capacity} AS start")

@@ -8,7 +8,8 @@ the tasks.  Scoring is one pass over the whole texts without a shuffle.
 
 Training uses at most SAMPLE labelled rows, half for each class, taken by the hash of their
 id; a fifth of them is held out to set the threshold with the classes weighted back to their
-share of all labels.
+share of all labels: the best F1 among those thresholds above which most documents are toxic,
+and none where there is no such threshold.
 """
 
 from __future__ import annotations
@@ -120,10 +121,11 @@ def _train(epochs: int, l1: float):
         tp = np.cumsum(u[test][best] * y[test][best])
         fp = np.cumsum(u[test][best] * (1 - y[test][best]))
         f1 = 2 * tp / (tp + fp + (u[test] * y[test]).sum())
-        last = np.append(np.diff(margin[best]) < 0, True)
-        k = int(np.argmax(np.where(last, f1, -1)))
+        # a threshold above which most documents aren't toxic is none: a model that learnt nothing flags nothing
+        fair = np.append(np.diff(margin[best]) < 0, True) & (tp > fp)
+        k = int(np.argmax(np.where(fair, f1, -1)))
         # midway to the next lower margin, so that the threshold isn't a document's own score
-        cut = (margin[best][k] + margin[best][k + 1]) / 2 if k + 1 < len(best) else margin[best][k] - 1e-6
+        cut = float("inf") if not fair.any() else (margin[best][k] + margin[best][k + 1]) / 2 if k + 1 < len(best) else margin[best][k] - 1e-6
         yield pa.RecordBatch.from_pydict({"places": [places.astype(np.int32)], "weights": [w[places].astype(np.float32)], "bias": [float(w[DIM])], "cut": [float(cut)], "f1": [float(f1[k])]})
 
     return run
