@@ -75,17 +75,29 @@ def sitemap_date(last_modified: Column, year: Column, month: Column) -> Column:
 
 
 _MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
+_SHORT = "Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec"
+#: Spellings of a date, and how they are read once points and commas are gone.
+SPELLINGS = (
+    (r"(?i)\b(20\d{2}-\d{2}-\d{2})\b", "yyyy-MM-dd"),
+    (rf"(?i)\b((?:{_MONTHS})\s+\d{{1,2}},?\s+20\d{{2}})\b", "MMMM d yyyy"),
+    (rf"(?i)\b((?:{_SHORT})\.?\s+\d{{1,2}},?\s+20\d{{2}})\b", "MMM d yyyy"),
+    (rf"(?i)\b(\d{{1,2}}\s+(?:{_MONTHS})\s+20\d{{2}})\b", "d MMMM yyyy"),
+    (rf"(?i)\b(\d{{1,2}}\s+(?:{_SHORT})\.?\s+20\d{{2}})\b", "d MMM yyyy"),
+)
 
 
 def visible_date_gap(text: Column, expected: Column) -> Column:
-    """Least distance in days of a date in the first 4,000 characters to the expected one."""
+    """Least distance in days to the expected date of any date in the first 4,000 characters, in five spellings; where
+    the page shows its date, it does so there.  Null without a date."""
     head = F.substring(text, 1, 4000)
-    spelled = rf"((?:{_MONTHS}) \d{{1,2}}, \d{{4}})"
-    turned = rf"(\d{{1,2}} (?:{_MONTHS}) \d{{4}})"
-    found = F.concat(
-        F.transform(F.regexp_extract_all(head, F.lit(r"(\d{4}-\d\d-\d\d)"), 1), lambda x: F.try_to_date(x, "yyyy-MM-dd")),
-        F.transform(F.regexp_extract_all(head, F.lit(r"(\d{4}/\d\d/\d\d)"), 1), lambda x: F.try_to_date(x, "yyyy/MM/dd")),
-        F.transform(F.regexp_extract_all(head, F.lit(spelled), 1), lambda x: F.try_to_date(x, "MMMM d, yyyy")),
-        F.transform(F.regexp_extract_all(head, F.lit(turned), 1), lambda x: F.try_to_date(x, "d MMMM yyyy")),
-    )
+    plain = lambda x: F.initcap(F.regexp_replace(F.regexp_replace(x, "[.,]", ""), r"\s+", " "))
+    found = F.concat(*(F.transform(F.regexp_extract_all(head, F.lit(p), 1), lambda x, f=f: F.try_to_date(plain(x), f)) for p, f in SPELLINGS))
     return F.array_min(F.transform(found, lambda d: F.abs(F.datediff(d, expected))))
+
+
+def date_visible(text: Column, expected: Column) -> Column:
+    """Whether the expected date stands anywhere in the whole text, in any of its five spellings."""
+    low, out = F.lower(text), F.lit(False)
+    for f in ("yyyy-MM-dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy"):
+        out |= F.contains(low, F.lower(F.date_format(expected, f)))
+    return F.coalesce(out, F.lit(False))

@@ -98,8 +98,8 @@ def stable_id(publisher: Column, url: Column) -> Column:
     return F.concat(publisher, F.lit(":"), F.sha2(url, 256))
 
 
-def hash_priority(*parts: Column, sep: str = "|") -> Column:
-    """SHA-256 of the joined parts: a seeded, engine-independent order."""
+def hash_priority(*parts: Column, sep: str = "\0") -> Column:
+    """SHA-256 of the parts, joined by NUL: a seeded, engine-independent order."""
     return F.sha2(F.concat_ws(sep, *(p.cast("string") for p in parts)), 256)
 
 

@@ -76,8 +76,9 @@ def normalize(rule: SourceRule, url: Column) -> Column:
 
 
 def match_key(url: Column) -> Column:
-    """Join key of one article: host without www, path without slash or .html, no query."""
-    return F.concat(host(url), F.regexp_replace(path(url), r"(?i)(?:\.html?)?/*$", ""))
+    """Join key of one article: host without www, path without slash or .html and folded over its site's generations,
+    no query."""
+    return F.concat(host(url), F.regexp_replace(fold_path(host(url), path(url)), r"(?i)(?:\.html?)?/*$", ""))
 
 
 def variants(url: Column) -> Column:
@@ -164,3 +165,57 @@ def spec_fingerprint(rule: SourceRule, first: int, last: int) -> str:
     import json
 
     return hashlib.sha256(json.dumps({"name": rule.name, "first": first, "last": last, "prefixes": rule.query_prefixes(first, last)}, sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+
+
+def fold_path(host_: Column, path_: Column) -> Column:
+    """Path of an article across its site's generations: dated news paths with and without a folder or .html are one."""
+    bare = F.regexp_replace(path_, "/+$", "")
+    shape = r"^/news/(?:articles/)?(\d{4}-\d{2}-\d{2})/([^/]+?)(?:\.html)?$"
+    legacy = bare.rlike(r"^/news/\d{4}-\d{2}-\d{2}/[^/]+\.html$") | bare.rlike(r"^/news/articles/\d{4}-\d{2}-\d{2}/[^/]+$")
+    return F.when((host_ == "bloomberg.com") & legacy, F.regexp_replace(bare, shape, "/news/$1/$2")).otherwise(bare)
+
+
+#: A wire's partners: hosts, the path of its articles there, the host that they get, and the parameter that is kept.
+PARTNERS = (
+    (("google.com", "www.google.com"), r"(?i)^/hostednews/(?:ap|canadianpress)/article/[^/]+$", "www.google.com", "docId"),
+    (("news.yahoo.com", "www.news.yahoo.com"), r"(?i)^/s/ap/(\d{8})/[^/]+/[^/]+$", "news.yahoo.com", None),
+    (("huffingtonpost.com", "www.huffingtonpost.com"), r"(?i)^/huff-wires/(\d{8})/[^/]+$", "www.huffingtonpost.com", None),
+)
+
+
+def partner(url: Column) -> Column:
+    """The canonical form of a wire article's address at a partner; null if it isn't one."""
+    raw = F.lower(part(url, "HOST"))
+    p = F.regexp_replace(F.regexp_replace(F.coalesce(part(url, "PATH"), F.lit("")), ";.*$", ""), "/+$", "")
+    out = F.lit(None).cast("string")
+    for hosts, pattern, to, key in PARTNERS:
+        name = F.regexp_extract(F.coalesce(part(url, "QUERY"), F.lit("")), rf"(?i)(?:^|&){key}(?:=|/x3d|/u003d)([^&]+)", 1)
+        query = F.when(name != "", F.concat(F.lit(f"?{key}="), name)).otherwise("") if key else F.lit("")
+        out = F.when(raw.isin(*hosts) & p.rlike(pattern), F.concat(F.lit(f"https://{to}"), p, query)).otherwise(out)
+    return out
+
+
+def partner_date(url: Column) -> Column:
+    """The day in a partner's path; null where there is none or it is impossible."""
+    own, day = partner(url), F.lit("")
+    for _, pattern, to, _ in PARTNERS:
+        if "(\\d{8})" in pattern:
+            inner = F.regexp_extract(own, "(?i)" + pattern.removeprefix("(?i)").replace("^", f"^https://{to.replace('.', chr(92) + '.')}", 1), 1)
+            day = F.when(F.coalesce(inner, F.lit("")) != "", inner).otherwise(day)
+    return F.try_to_date(F.nullif(day, F.lit("")), "yyyyMMdd")
+
+
+def mirrored_original(url: Column) -> Column:
+    """The original's address behind a partner's dated mirror path; null if it isn't one."""
+    shape = r"(?i)^https?://(?:www\.)?bnnbloomberg\.ca/bloomberg/(20\d{2})/(\d{2})/(\d{2})/([a-z0-9][a-z0-9-]*)/?(?:[?#].*)?$"
+    return F.when(url.rlike(shape), F.regexp_replace(url, shape, "https://www.bloomberg.com/news/articles/$1-$2-$3/$4"))
+
+
+def decoded_feed_url(url: Column) -> Column:
+    """The article's address inside an aggregator's opaque item: its last path part is base64 of a short record that
+    holds it; null where it holds none."""
+    raw = F.regexp_extract(url, r"/(?:rss/)?articles/([A-Za-z0-9_-]+)", 1)
+    plain = F.translate(raw, "-_", "+/")
+    padded = F.rpad(plain, F.ceil(F.length(plain) / 4).cast("int") * 4, "=")
+    text = F.decode(F.try_to_binary(padded, F.lit("base64")), "ISO-8859-1")
+    return F.nullif(F.regexp_extract(text, r"(https?://[\x21-\x7e]+)", 1), F.lit(""))

@@ -22,13 +22,14 @@ def title_match(left: DataFrame, right: DataFrame, days: int = 2, least: float =
     count = b.select(F.explode("tb").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     pool = a.select("a", "day_a", "ta", F.explode("ta").alias("t")).join(count, "t", "left")
     need = F.size("ta") - F.ceil(F.size("ta") * least) + 1
-    rare = pool.groupBy("a", "day_a", "ta").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("x"))
-    rare = rare.select("a", "day_a", "ta", F.explode(F.slice("x", F.lit(1), need.cast("int"))).alias("x")).select("a", "day_a", "ta", "x.t")
+    rare = pool.groupBy("a", "day_a", need.cast("int").alias("need")).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("x"))
+    rare = rare.select("a", "day_a", F.explode(F.slice("x", F.lit(1), F.col("need"))).alias("x")).select("a", "day_a", "x.t")
     # the days around a title are join keys too, so that a common token doesn't pair all times
     near = rare.withColumn("day_b", F.explode(F.sequence(F.date_sub("day_a", days), F.date_add("day_a", days)))).where(F.year("day_a") == F.year("day_b"))
-    pairs = near.join(b.select("b", "day_b", "tb", F.explode("tb").alias("t")), ["t", "day_b"])
-    share = text.overlap(F.col("ta"), F.col("tb"), "greatest")
-    pairs = pairs.withColumn("overlap", share).where((F.col("overlap") >= least) & (text.shared(F.col("ta"), F.col("tb")) >= least_shared)).select("a", "b", "overlap", F.abs(F.datediff("day_a", "day_b")).alias("apart")).distinct()
+    pairs = near.join(b.select("b", "day_b", F.explode("tb").alias("t")), ["t", "day_b"]).select("a", "b").distinct()
+    # each pair once, and only then its titles
+    pairs = pairs.join(a, "a").join(b, "b").withColumn("overlap", text.overlap(F.col("ta"), F.col("tb"), "greatest"))
+    pairs = pairs.where((F.col("overlap") >= least) & (text.shared(F.col("ta"), F.col("tb")) >= least_shared)).select("a", "b", "overlap", F.abs(F.datediff("day_a", "day_b")).alias("apart"))
     return top_per_key(pairs, ["a"], [F.desc("overlap"), "apart", "b"], keep)
 
 
@@ -36,12 +37,15 @@ def token_pairs(left: DataFrame, right: DataFrame, least: float, over: str = "le
     """(a, b, overlap) of (id, tokens): every pair whose overlap is at least `least`, which is above 0.
 
     Shared tokens are counted by a join on the token, whose counts are summed before the shuffle; no pair's
-    sets are compared, and Spark broadcasts the right side only if its size allows."""
-    a = left.select(F.col("id").alias("a"), F.size("tokens").alias("na"), F.explode("tokens").alias("t"))
-    b = right.select(F.col("id").alias("b"), F.size("tokens").alias("nb"), F.explode("tokens").alias("t"))
+    sets are compared, and Spark broadcasts the right side only if its size allows.  Tokens are joined as
+    64-bit hashes, and the ids' sizes only to the pairs' counts."""
+    token = lambda: F.explode(F.transform("tokens", lambda t: F.xxhash64(t)))
+    a = left.select(F.col("id").alias("a"), token().alias("t"))
+    b = right.select(F.col("id").alias("b"), token().alias("t"))
     base = {"least": F.least("na", "nb"), "greatest": F.greatest("na", "nb"), "first": F.col("na")}[over]
-    pairs = a.join(b, "t").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("n")).withColumn("overlap", F.col("n") / base)
-    return pairs.where(F.col("overlap") >= least).select("a", "b", "overlap")
+    pairs = a.join(b, "t").groupBy("a", "b").agg(F.count("*").alias("n"))
+    pairs = pairs.join(left.select(F.col("id").alias("a"), F.size("tokens").alias("na")), "a").join(right.select(F.col("id").alias("b"), F.size("tokens").alias("nb")), "b")
+    return pairs.withColumn("overlap", F.col("n") / base).where(F.col("overlap") >= least).select("a", "b", "overlap")
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, at: str, within: int) -> DataFrame:
@@ -60,12 +64,105 @@ def asof(left: DataFrame, right: DataFrame, key: str, at: str, within: int) -> D
     return out.select("id", key, at, F.when(near, F.col("seen.ref")).alias("ref"), F.when(near, F.col("seen")[at]).alias("ref_at"))
 
 
+#: Intervals, at most, that are compared inside each row.
+MOST_INTERVALS = 10_000
+
+
 def rank_intervals(items: DataFrame, intervals: DataFrame, keep: int = 3) -> DataFrame:
     """For each item (id, at) the best intervals (name, start, end): those that hold it first, then by distance,
-    later ones before earlier, then the newest.  intervals is a dimension of a few hundred rows."""
-    gap = F.when(F.col("at") < F.col("start"), F.col("start").cast("bigint") - F.col("at").cast("bigint")).when(F.col("at") > F.col("end"), F.col("at").cast("bigint") - F.col("end").cast("bigint")).otherwise(0)
-    pairs = items.crossJoin(F.broadcast(intervals)).withColumn("gap", gap).withColumn("before", (F.col("at") > F.col("end")).cast("int"))
-    return top_per_key(pairs, ["id"], ["gap", "before", F.desc("end"), "name"], keep, "place").select("id", "at", "name", "gap", "place")
+    later ones before earlier, then the newest.
+
+    intervals is a dimension: its rows become one array that goes with the plan, and each row ranks them in place,
+    without a shuffle.  More than MOST_INTERVALS are refused."""
+    rows = intervals.select("name", F.col("start").cast("bigint"), F.col("end").cast("bigint")).limit(MOST_INTERVALS + 1).collect()
+    if len(rows) > MOST_INTERVALS:
+        raise ValueError(f"more than {MOST_INTERVALS} intervals")
+    kind = "array<struct<name string, start bigint, end bigint>>"
+    table = F.array(*(F.struct(F.lit(r["name"]).alias("name"), F.lit(r["start"]).alias("start"), F.lit(r["end"]).alias("end")) for r in rows)).cast(kind) if rows else F.array().cast(kind)
+    at = F.col("at").cast("bigint")
+    scored = F.transform(table, lambda s: F.struct(F.when(at < s["start"], s["start"] - at).when(at > s["end"], at - s["end"]).otherwise(0).alias("gap"), (at > s["end"]).cast("int").alias("before"), (-s["end"]).alias("newest"), s["name"].alias("name")))
+    best = items.where("at IS NOT NULL").select("id", "at", F.posexplode(F.slice(F.array_sort(scored), 1, keep)).alias("place", "s"))
+    return best.select("id", "at", "s.name", "s.gap", (F.col("place") + 1).alias("place"))
+
+
+def sharing_tokens(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b) of (id, title): pairs whose titles share a token, which is all that an overlap above 0 needs."""
+    token = lambda: F.explode(text.tokens(F.col("title"))).alias("t")
+    return left.select(F.col("id").alias("a"), token()).join(right.select(F.col("id").alias("b"), token()), "t").select("a", "b").distinct()
+
+
+# ---- semi and anti joins of the validation tables ----
+
+
+def pending(samples: DataFrame, captures: DataFrame, results: DataFrame, complete_only: bool = False) -> DataFrame:
+    """Planned and captured but not yet evaluated: samples (canonical_url, ...) with a capture and without a result."""
+    have = captures.where("status = 'complete'") if complete_only else captures
+    return samples.join(have.select("canonical_url"), "canonical_url", "left_semi").join(results.select("canonical_url"), "canonical_url", "left_anti")
+
+
+def unsampled(captures: DataFrame, samples: DataFrame, exclusions: DataFrame) -> DataFrame:
+    """Captures that are neither planned nor excluded."""
+    return captures.join(samples.select("canonical_url"), "canonical_url", "left_anti").join(exclusions.select("canonical_url"), "canonical_url", "left_anti")
+
+
+def drop_unevaluated(samples: DataFrame, results: DataFrame) -> DataFrame:
+    """What a delete of samples without a result leaves."""
+    return samples.join(results.select("canonical_url"), "canonical_url", "left_semi")
+
+
+def adopt(samples: DataFrame, results: DataFrame, year: Column) -> DataFrame:
+    """Samples, and as samples of `year` those results that aren't planned yet."""
+    new = results.join(samples.select("canonical_url"), "canonical_url", "left_anti").select("canonical_url", year.alias("sample_year")).distinct()
+    return samples.select("canonical_url", "sample_year").unionByName(new)
+
+
+def exclusion_split(captures: DataFrame, exclusions: DataFrame, year: Column, first: int, last: int) -> DataFrame:
+    """(year, eligible, excluded): captures of each year of the range, without and with an exclusion."""
+    out = exclusions.select("canonical_url", F.lit(True).alias("out")).distinct()
+    rows = captures.withColumn("year", year).where(F.col("year").between(first, last)).join(out, "canonical_url", "left")
+    return rows.groupBy("year").agg(F.count_if(F.col("out").isNull()).alias("eligible"), F.count_if("out").alias("excluded"))
+
+
+def replays(config: DataFrame, samples: DataFrame, captures: DataFrame, results: DataFrame) -> DataFrame:
+    """Complete captures to evaluate again: planned for a year (config: sample_year, target_size, parser_version) whose
+    results of that version are under the target, and without such a result."""
+    current = results.join(config.select("sample_year", "parser_version"), ["sample_year", "parser_version"])
+    n = current.groupBy("sample_year").agg(F.count("*").alias("n"))
+    active = config.join(n, "sample_year", "left").where(F.coalesce("n", F.lit(0)) < F.col("target_size")).select("sample_year", "parser_version")
+    todo = samples.select("canonical_url", "sample_year").join(active, "sample_year").join(captures.where("status = 'complete' AND raw_path IS NOT NULL").select("canonical_url"), "canonical_url", "left_semi")
+    return todo.join(results.select("canonical_url", "parser_version").distinct(), ["canonical_url", "parser_version"], "left_anti")
+
+
+def corroborated(articles: DataFrame, occurrences: DataFrame, least_length: int) -> DataFrame:
+    """Articles (url, index) that an accepted occurrence of the same URL and index, long enough, bears out."""
+    ok = occurrences.where((F.col("status") == "accepted") & (F.col("length") >= least_length)).select("url", "index").distinct()
+    return articles.join(ok, ["url", "index"], "left_semi")
+
+
+def hydrated_only(candidates: DataFrame, hydration: DataFrame) -> DataFrame:
+    """Candidates but those whose dates are still being looked for."""
+    return candidates.join(hydration.where("status <> 'complete'").select("canonical_url"), "canonical_url", "left_anti")
+
+
+def selected_captures(source: DataFrame, chosen: DataFrame, target: DataFrame) -> DataFrame:
+    """The target's captures after complete captures of the chosen URLs were taken over from the source: rows that are
+    complete in the target stay as they are."""
+    new = source.where("status = 'complete'").join(chosen.select("canonical_url").distinct(), "canonical_url", "left_semi")
+    return target.join(new.join(target.where("status = 'complete'").select("canonical_url"), "canonical_url", "left_anti").select("canonical_url"), "canonical_url", "left_anti").unionByName(
+        new.join(target.where("status = 'complete'").select("canonical_url"), "canonical_url", "left_anti").select(*target.columns)
+    )
+
+
+def exclude(samples: DataFrame, results: DataFrame, exclusions: DataFrame, urls_: DataFrame, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(samples, results, exclusions) after URLs were excluded under a label: overlapping samples and results go."""
+    new = urls_.select("canonical_url").where("canonical_url IS NOT NULL").distinct()
+    gone = lambda df: df.join(new, "canonical_url", "left_anti")
+    return gone(samples), gone(results), gone(exclusions).unionByName(new.withColumn("label", F.lit(label)))
+
+
+def relax(exclusions: DataFrame, eligible: int, target: int) -> tuple[DataFrame, DataFrame]:
+    """(exclusions, relaxed): below the target the exclusions are copied away and lifted, else they stay."""
+    return (exclusions.limit(0), exclusions) if eligible < target else (exclusions, exclusions.limit(0))
 
 
 def preindex(captures: DataFrame, articles: DataFrame, keep: int = 3) -> DataFrame:
@@ -85,8 +182,9 @@ def by_overlap(pairs: DataFrame, expected: str, found: str, least: float = 0.35,
 
 
 def best_original(rows: DataFrame, least: float = 0.8, least_shared: int = 4) -> DataFrame:
-    """Per id the URL whose title covers the expected one best, the first of equals; below the limits none."""
-    e, f = text.tokens(F.col("expected")), text.tokens(F.col("found"))
+    """Per id the URL whose title (found) covers the expected one best, the least position of equals; below the limits
+    none.  Titles are texts or, where they are made already, arrays of tokens."""
+    e, f = (F.col(c) if dict(rows.dtypes)[c].startswith("array") else text.tokens(F.col(c)) for c in ("expected", "found"))
     scored = rows.withColumn("coverage", text.overlap(e, f, "first")).where((F.col("coverage") >= least) & (text.shared(e, f) >= least_shared))
     return scored.groupBy("id").agg(F.max_by("url", F.struct("coverage", -F.col("position"))).alias("url"), F.max("coverage").alias("coverage"))
 

@@ -23,7 +23,7 @@ def round_robin(df: DataFrame, key: str, order: list, limit: int | None = None,
 
 def shortfall(df: DataFrame, done: DataFrame, key: str, order: list, target: int) -> DataFrame:
     """Per key only as many rows as it still lacks: rank <= target - done.  done: (key, n)."""
-    ranked = df.withColumn("turn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    ranked = top_per_key(df, [key], order, target, "turn")
     return ranked.join(done, key, "left").where(F.col("turn") <= target - F.coalesce("n", F.lit(0))).drop("n")
 
 
@@ -51,3 +51,16 @@ def nearest_order(captured: str, published: str, url: str) -> list[Column]:
     """Sort keys by distance to publication; undated captures last, ties by address."""
     gap = F.abs(F.col(captured).cast("bigint") - F.col(published).cast("bigint"))
     return [F.coalesce(gap, -F.col(captured).cast("bigint")).asc_nulls_last(), F.col(url).asc()]
+
+
+def per_year_turns(df: DataFrame, year: str, order: list, most: int) -> DataFrame:
+    """At most `most` rows, as evenly over the years as they allow: ceil(most / years) of each, then one of each year in
+    turn, later years first."""
+    years = df.select(year).distinct().count()
+    share = -(-most // years) if years else 0
+    return top_per_key(df, [year], order, max(1, share), "turn").orderBy("turn", F.desc(year)).limit(most)
+
+
+def under_target(df: DataFrame, year: str, done: DataFrame, target: int, order: list) -> DataFrame:
+    """The first row, by the order, whose year has under target rows done: (year, n)."""
+    return df.join(done, year, "left").where(F.coalesce("n", F.lit(0)) < target).drop("n").orderBy(*order).limit(1)

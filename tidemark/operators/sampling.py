@@ -12,25 +12,48 @@ from tidemark.functions import text
 from tidemark.operators.rank import top_per_key
 
 
-def by_hash(df: DataFrame, stratum: str, key: str, seed: str, k: int) -> DataFrame:
-    """The k rows of each stratum with the least SHA-256 of seed, stratum and key."""
-    return top_per_key(df.withColumn("priority", text.hash_priority(F.lit(seed), F.col(stratum), F.col(key))), [stratum], ["priority", key], k)
+def priority(seed: str, *parts: Column) -> Column:
+    """The order of samples: SHA-256 of the seed and the parts (publisher, stratum, key), joined by NUL."""
+    return text.hash_priority(F.lit(seed), *parts)
+
+
+def by_hash(df: DataFrame, stratum: str, key: str, seed: str, k: int, publisher: str | None = None) -> DataFrame:
+    """The k rows of each stratum with the least `priority` of seed, publisher (if any), stratum and key."""
+    parts = [F.col(stratum), F.col(key)] if publisher is None else [F.lit(publisher), F.col(stratum), F.col(key)]
+    return top_per_key(df.withColumn("priority", priority(seed, *parts)), [stratum], ["priority", key], k)
+
+
+#: Ranges of shards whose lengths are summed before places are found.
+RANGES = 4096
 
 
 def systematic(segments: DataFrame, most: int) -> DataFrame:
-    """Places floor((i + 1/2) * total / n) of the segments (shard, start, end) laid end to end: (shard, rank)."""
+    """Places floor((i + 1/2) * total / n) of the segments (shard, start, end) laid end to end: (shard, rank).
+
+    Prefix sums run in two steps: sums of at most RANGES ranges of shard numbers, which alone reach the driver, then
+    sums inside a range; no task holds all segments."""
     from pyspark.sql import Window
 
-    w = Window.orderBy("shard", "start")
-    laid = segments.where("end > start").withColumn("n", F.col("end") - F.col("start")).withColumn("base", F.sum("n").over(w) - F.col("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    laid = laid.withColumn("total", total).withColumn("size", F.least("total", F.lit(most)))
+    spark = segments.sparkSession
+    some = segments.where("end > start").withColumn("n", F.col("end") - F.col("start"))
+    lo, hi = some.agg(F.min("shard"), F.max("shard")).first()
+    if lo is None:
+        return some.select("shard", F.col("start").cast("bigint").alias("rank"))
+    some = some.withColumn("range", F.floor((F.col("shard") - lo) * F.lit(RANGES) / F.lit(hi - lo + 1)).cast("int"))
+    before, total = [], 0
+    for r in some.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect():
+        before.append((r["range"], total))
+        total += r["n"]
+    size = min(total, most)
+    w = Window.partitionBy("range").orderBy("shard", "start").rowsBetween(Window.unboundedPreceding, -1)
+    # a row a range, RANGES at most
+    laid = some.join(F.broadcast(spark.createDataFrame(before, "range int, before bigint")), "range").withColumn("base", F.col("before") + F.coalesce(F.sum("n").over(w), F.lit(0)))
     # the draws that fall in a segment follow from its bounds: no join over places
-    first = F.ceil((F.col("base") * F.col("size")) / F.col("total") - 0.5)
-    last = F.ceil(((F.col("base") + F.col("n")) * F.col("size")) / F.col("total") - 0.5) - 1
+    first = F.ceil(F.col("base") * size / total - 0.5)
+    last = F.ceil((F.col("base") + F.col("n")) * size / total - 0.5) - 1
     laid = laid.withColumn("first", F.greatest(F.lit(0), first.cast("bigint"))).withColumn("last", last.cast("bigint")).where("last >= first")
-    drawn = laid.withColumn("i", F.explode(F.sequence("first", "last"))).where("i < size")
-    place = F.least(F.col("total") - 1, F.floor((F.col("i") + 0.5) * F.col("total") / F.col("size")))
+    drawn = laid.withColumn("i", F.explode(F.sequence("first", "last"))).where(F.col("i") < size)
+    place = F.least(F.lit(total - 1), F.floor((F.col("i") + 0.5) * total / size))
     return drawn.withColumn("place", place).where("place >= base AND place < base + n").select("shard", (F.col("start") + F.col("place") - F.col("base")).cast("bigint").alias("rank")).distinct()
 
 
@@ -53,5 +76,5 @@ def plan(done: DataFrame, pool: DataFrame, stratum: str, key: str, seed: str, ta
     first, then the preferred ones of the pool, then the rest; each by hash."""
     reserve = max(100, target // 2)
     both = done.select(stratum, key, F.lit(0).alias("tier")).unionByName(pool.join(done, [stratum, key], "left_anti").select(stratum, key, F.when(preferred, 1).otherwise(2).alias("tier") if preferred is not None else F.lit(2).alias("tier")))
-    both = both.withColumn("priority", text.hash_priority(F.lit(seed), F.col(stratum), F.col(key)))
+    both = both.withColumn("priority", priority(seed, F.col(stratum), F.col(key)))
     return top_per_key(both, [stratum], ["tier", "priority", key], target + reserve, "place").withColumn("reserve", F.col("place") > target)

@@ -109,14 +109,51 @@ def corpus_offsets(spark: SparkSession, path: str) -> DataFrame:
     return n.select("file", "rows", F.coalesce(before, F.lit(0)).alias("first"))
 
 
+def footer_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, rows) of a Parquet folder from the files' footers alone: no page of data is read."""
+    names = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path").collect()]
+
+    def count(batches):
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            n = []
+            for p in batch.column(0).to_pylist():
+                fs, inner = _opened(p)
+                with fs.open_input_file(inner) as f:
+                    n.append(pq.ParquetFile(f).metadata.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["file", "rows"])
+
+    return spark.createDataFrame([(n,) for n in names], "file string").repartition(max(1, len(names) // 64)).mapInArrow(count, "file string, rows bigint")
+
+
+def _opened(path: str):
+    """(file system, path in it) of a URI or a local path: local disks, object stores and HDFS, as pyarrow has them."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def _stored(folder: str) -> list[str]:
+    """JSON pages of a folder, pages in the order of the numbers in their names."""
+    from pyarrow import fs
+
+    where, inner = _opened(folder)
+    prefix = folder[: len(folder) - len(inner)] if folder.endswith(inner) else ""
+    names = [f.path for f in where.get_file_info(fs.FileSelector(inner)) if f.type == fs.FileType.File and f.path.endswith(".json")]
+    return [prefix + p for p in sorted(names, key=lambda p: [(0, int(x), "") if x.isdigit() else (1, 0, x) for x in re.split(r"(\d+)", p)])]
+
+
 class _Page(InputPartition):
     def __init__(self, path: str) -> None:
         self.path = path
 
 
 def _captures(path: str):
-    rows = json.loads(Path(path).read_text() or "[]")
-    name, key = Path(path).name, None
+    where, inner = _opened(path)
+    with where.open_input_file(inner) as f:
+        rows = json.loads(f.read().decode() or "[]")
+    name, key = path.rsplit("/", 1)[-1], None
     if rows and rows[0] != CDX_COLUMNS:
         raise ValueError(f"unexpected index header on page {name}")
     key = next((r[0] for r in rows if len(r) == 1), None)
@@ -130,7 +167,7 @@ class _Reader(DataSourceReader):
         self.folder = folder
 
     def partitions(self):
-        return [_Page(str(p)) for p in sorted(Path(self.folder).glob("*.json"))]
+        return [_Page(p) for p in _stored(self.folder)]
 
     def read(self, partition):
         yield from _captures(partition.path)
@@ -143,7 +180,7 @@ class _Stream(SimpleDataSourceStreamReader):
         self.folder, self.most = folder, most
 
     def _pages(self) -> list[str]:
-        return sorted((str(p) for p in Path(self.folder).glob("*.json")), key=lambda p: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", p)])
+        return _stored(self.folder)
 
     def initialOffset(self):
         return {"page": 0}

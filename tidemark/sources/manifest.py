@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,22 +22,39 @@ def filled(*names: str, row: str = "r") -> Column:
     return F.coalesce(*(F.nullif(F.trim(F.col(f"{row}.{n}")), F.lit("")) for n in names))
 
 
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds each line's number, from 1, in its file, or in its part of a file that is split."""
+    now, n = None, 0
+    for batch in batches:
+        line = np.empty(batch.num_rows, np.int64)
+        for i, key in enumerate(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist())):
+            now, n = (now, n + 1) if key == now else (key, 1)
+            line[i] = n
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(line)], [*batch.schema.names, "line"])
+
+
 def read_manifest(spark: SparkSession, paths: str | list[str], publisher: str) -> DataFrame:
     """(source, ordinal, url, published, section, candidates) of JSONL files, gzipped or not.
 
     Blank lines are skipped.  A line that isn't an object, a row without a URL or of another publisher
-    fails the scan, naming the file.  source is the place of the path in the list; ordinal orders the rows
-    of a source.  Old rows with one capture in flat fields get it as their candidate.
+    fails the scan, naming the file and the line.  source is the place of the path in the list; ordinal orders
+    the rows of a source: by file name, then by place in the file.  Old rows with one capture in flat fields get
+    it as their candidate.
     """
     paths = [paths] if isinstance(paths, str) else paths
     out = None
     for k, path in enumerate(paths):
-        part = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ordinal")).where(F.trim("value") != "").withColumn("source", F.lit(k))
+        part = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        part = part.mapInArrow(_numbered, "value string, file string, start bigint, line bigint").where(F.trim("value") != "").withColumn("source", F.lit(k))
         out = part if out is None else out.unionByName(part)
+    out = out.withColumn("ordinal", F.struct("file", "start", "line"))
     rows = out.withColumn("r", F.from_json("value", ROW))
     bad = ~F.trim("value").startswith("{") | F.try_parse_json("value").isNull()
     who = F.lower(F.coalesce(filled("publisher"), F.lit(publisher)))
-    url = F.when(bad, F.raise_error(F.concat(F.lit("manifest line is no JSON object: "), "file"))).when(who != publisher.lower(), F.raise_error(F.concat(F.lit("manifest of another publisher: "), "file"))).otherwise(F.coalesce(filled("canonicalUrl", "canonical_url", "url"), F.raise_error(F.concat(F.lit("manifest row without URL: "), "file"))))
+    at = F.concat(F.lit(": "), "file", F.lit(", line "), F.col("line").cast("string"), F.when(F.col("start") > 0, F.concat(F.lit(" from byte "), F.col("start").cast("string"))).otherwise(""))
+    fail = lambda why: F.raise_error(F.concat(F.lit(why), at))
+    url = F.coalesce(filled("canonicalUrl", "canonical_url", "url"), fail("manifest row without a URL"))
+    url = F.when(bad, fail("manifest line is no JSON object")).when(who != publisher.lower(), fail("manifest of another publisher")).otherwise(url)
     flat = F.when(
         (F.col("r.wayback_status") == "found") & filled("wayback_snapshot_url").isNotNull(),
         F.array(
