@@ -91,7 +91,8 @@ def visible_date_gap(text: Column, expected: Column) -> Column:
     the page shows its date, it does so there.  Null without a date."""
     head = F.substring(text, 1, 4000)
     plain = lambda x: F.initcap(F.regexp_replace(F.regexp_replace(x, "[.,]", ""), r"\s+", " "))
-    found = F.concat(*(F.transform(F.regexp_extract_all(head, F.lit(p), 1), lambda x, f=f: F.try_to_date(plain(x), f)) for p, f in SPELLINGS))
+    each = lambda p, f: F.transform(F.regexp_extract_all(head, F.lit(p), 1), lambda x: F.try_to_date(plain(x), f))
+    found = F.concat(*(each(p, f) for p, f in SPELLINGS))
     return F.array_min(F.transform(found, lambda d: F.abs(F.datediff(d, expected))))
 
 

@@ -12,15 +12,19 @@ from tidemark.functions import text
 from tidemark.operators.rank import top_per_key
 
 
-def priority(seed: str, *parts: Column) -> Column:
-    """The order of samples: SHA-256 of the seed and the parts (publisher, stratum, key), joined by NUL."""
-    return text.hash_priority(F.lit(seed), *parts)
+#: Between the parts that are hashed for samples that other tools draw too.
+NUL = "\0"
 
 
-def by_hash(df: DataFrame, stratum: str, key: str, seed: str, k: int, publisher: str | None = None) -> DataFrame:
+def priority(seed: str, *parts: Column, sep: str = "|") -> Column:
+    """The order of samples: SHA-256 of the seed and the parts (publisher if any, stratum, key)."""
+    return text.hash_priority(F.lit(seed), *parts, sep=sep)
+
+
+def by_hash(df: DataFrame, stratum: str, key: str, seed: str, k: int, publisher: str | None = None, sep: str = "|") -> DataFrame:
     """The k rows of each stratum with the least `priority` of seed, publisher (if any), stratum and key."""
     parts = [F.col(stratum), F.col(key)] if publisher is None else [F.lit(publisher), F.col(stratum), F.col(key)]
-    return top_per_key(df.withColumn("priority", priority(seed, *parts)), [stratum], ["priority", key], k)
+    return top_per_key(df.withColumn("priority", priority(seed, *parts, sep=sep)), [stratum], ["priority", key], k)
 
 
 #: Ranges of shards whose lengths are summed before places are found.
@@ -71,10 +75,10 @@ def seeded(segments: list[tuple[int, int, int]], most: int, seed: str) -> list[t
     return out
 
 
-def plan(done: DataFrame, pool: DataFrame, stratum: str, key: str, seed: str, target: int, preferred: Column | None = None) -> DataFrame:
+def plan(done: DataFrame, pool: DataFrame, stratum: str, key: str, seed: str, target: int, preferred: Column | None = None, sep: str = "|") -> DataFrame:
     """Target and reserve rows a stratum, reserve the larger of 100 and half the target: rows that are done
     first, then the preferred ones of the pool, then the rest; each by hash."""
     reserve = max(100, target // 2)
     both = done.select(stratum, key, F.lit(0).alias("tier")).unionByName(pool.join(done, [stratum, key], "left_anti").select(stratum, key, F.when(preferred, 1).otherwise(2).alias("tier") if preferred is not None else F.lit(2).alias("tier")))
-    both = both.withColumn("priority", priority(seed, F.col(stratum), F.col(key)))
+    both = both.withColumn("priority", priority(seed, F.col(stratum), F.col(key), sep=sep))
     return top_per_key(both, [stratum], ["tier", "priority", key], target + reserve, "place").withColumn("reserve", F.col("place") > target)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, quality, text, urls
+from tidemark.functions import capture, dates, text, urls
 
 REPLAY = r"(?i)^https?://web\.archive\.org/web/\d{14}(?:id_|im_|js_|cs_)?/(https?://.+)$"
 
@@ -110,7 +110,7 @@ def gate(name: str, rule: Rule) -> tuple[Column, Column]:
     if name == "body":
         return c("characters") >= rule.least, F.lit("body-too-short")
     if name == "paywall":
-        return ~quality.paywall_shell(c("characters"), plain), F.lit("suspected-paywall-shell")
+        return ~capture.paywall_shell(c("characters"), plain), F.lit("suspected-paywall-shell")
     if name == "attribution":
         seen = [authors, F.substring(plain, 1, 1000), F.substring(plain, -1000, 1000)] if rule.where == "ends" else [authors, F.substring(visible, 1, rule.reach) if rule.reach else visible]
         return F.concat_ws("\n", *seen).rlike(rule.attribution), missing("attribution")
