@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import dates, html, quality, text, urls
-from tidemark.operators import audit, dedupe, joins, manifest, rank, sampling, state, summary
+from tidemark.functions import capture, dates, html, quality, text, urls
+from tidemark.operators import audit, dedupe, joins, manifest, rank, sampling, state, store, summary, turns
 from tidemark.plans import dispatch
 from tidemark.streaming import pages as streams
 
@@ -50,10 +50,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY page_id) AS place F
 SELECT key, count(*) AS kept, string_agg(url, ' ' ORDER BY place) AS candidates FROM r WHERE place <= 3 GROUP BY key
 """)
 def page_manifest(spark: SparkSession, d: str) -> DataFrame:
-    p = _t(spark, d, "pages").select(urls.match_key(F.col("url")).alias("key"), "page_id", "url")
-    best = rank.top_per_key(p, ["key"], ["page_id"], 3, "place")
-    item = F.array_sort(F.collect_list(F.struct("place", "url")))
-    return best.groupBy("key").agg(F.count("*").alias("kept"), F.array_join(F.transform(item, lambda x: x["url"]), " ").alias("candidates"))
+    p = _t(spark, d, "pages").select(urls.match_key(F.col("url")).alias("url"), F.lit(None).cast("timestamp").alias("published"), F.timestamp_seconds("page_id").alias("captured"), F.col("url").alias("snapshot"), F.lit("").alias("digest"))
+    return manifest.build(p).select(F.col("url").alias("key"), F.size("candidates").cast("bigint").alias("kept"), F.array_join(F.transform("candidates", lambda c: c["snapshotUrl"]), " ").alias("candidates"))
 
 
 @query("""
@@ -322,9 +320,10 @@ s AS (SELECT id, p_partkey, p_size, len(list_intersect(x, w)) / CASE WHEN least(
 SELECT id, p_partkey AS position, overlap, (row_number() OVER (PARTITION BY id ORDER BY overlap DESC, p_size, p_partkey))::INT AS place FROM s WHERE overlap >= 0.35 QUALIFY row_number() OVER (PARTITION BY id ORDER BY overlap DESC, p_size, p_partkey) <= 8
 """)
 def search_overlap(spark: SparkSession, d: str) -> DataFrame:
-    e = _t(spark, d, "part").groupBy("p_name").agg(F.min("p_partkey").alias("id")).select("id", F.concat("p_name", F.lit(" sale")).alias("expected"))
-    p = e.crossJoin(_t(spark, d, "part").select(F.col("p_partkey").alias("position"), F.col("p_size").alias("priority"), F.col("p_name").alias("found")))
-    return joins.by_overlap(p, "expected", "found").select("id", "position", "overlap", "place")
+    e = _t(spark, d, "part").groupBy("p_name").agg(F.min("p_partkey").alias("id")).select("id", F.concat("p_name", F.lit(" sale")).alias("title"))
+    f = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("priority"), F.col("p_name").alias("title"))
+    near = joins.sharing_tokens(e, f).join(e.select(F.col("id").alias("a"), F.col("title").alias("expected")), "a").join(f.select(F.col("id").alias("b"), "priority", F.col("title").alias("found")), "b")
+    return joins.by_overlap(near.withColumnsRenamed({"a": "id", "b": "position"}), "expected", "found").select("id", "position", "overlap", "place")
 
 
 @query(f"""
@@ -343,9 +342,8 @@ def best_original(spark: SparkSession, d: str) -> DataFrame:
 
     rare = ranked.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("n", "w"))).where("k <= size - ceil(size * 0.8) + 1").select("id", "source", "w")
     pairs = rare.join(words.select(F.col("id").alias("url"), "source", "w"), ["source", "w"]).where("id <> url").select("id", "url").distinct()
-    both = pairs.join(docs.select("id", F.col("x").alias("a")), "id").join(docs.select(F.col("id").alias("url"), F.col("x").alias("b")), "url")
-    share = both.select("id", "url", text.overlap(F.col("a"), F.col("b"), "first").alias("coverage"), text.shared(F.col("a"), F.col("b")).alias("shared")).where("coverage >= 0.8 AND shared >= 4")
-    return share.groupBy("id").agg(F.max_by("url", F.struct("coverage", -F.col("url"))).alias("url"), F.max("coverage").alias("coverage"))
+    both = pairs.join(docs.select("id", F.col("x").alias("expected")), "id").join(docs.select(F.col("id").alias("url"), F.col("x").alias("found")), "url")
+    return joins.best_original(both.withColumn("position", F.col("url")))
 
 
 @query("""
@@ -611,3 +609,117 @@ def should_continue(spark: SparkSession, d: str) -> DataFrame:
     o = _t(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.when(F.col("o_orderstatus") == "P", "complete").when(F.col("o_orderstatus") == "F", "error").otherwise("pending").alias("status"), (F.col("o_orderkey") % 5).alias("attempts"))
     done = o.groupBy("year").agg(F.count_if(F.col("status") == "complete").alias("n"))
     return dispatch.should_continue(o.where("status <> 'complete'"), done, "year", 400)
+
+
+# ---- validation tables, queues and stores ----
+
+
+@query("SELECT lang, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sha256('seed' || chr(0) || 'ap' || chr(0) || lang || chr(0) || doc_id), doc_id) <= 25")
+def validation_sample(spark: SparkSession, d: str) -> DataFrame:
+    return sampling.by_hash(_t(spark, d, "documents").select("lang", "doc_id"), "lang", "doc_id", "seed", 25, publisher="ap", sep=sampling.NUL).select("lang", "doc_id")
+
+
+
+
+def _marks(column: str, marks: tuple[str, ...]) -> str:
+    return "(" + " OR ".join("contains({}, '{}')".format(column, m.replace("'", "''")) for m in marks) + ")"
+
+
+@query(f"""
+WITH p AS (SELECT page_id, lower(html) AS h, strlen(html) AS n, CASE WHEN page_id % 9 = 0 THEN 404 ELSE 200 END AS status, lower(url) AS u FROM pages),
+s AS (SELECT *, {_marks("h", capture.HTML_MARKS)} AS looks, {_marks("h", quality.ARTICLE_MARKS)} AS art, {_marks("h", capture.BODY_MARKS)} AS body, {_marks("h", capture.ERROR_MARKS)} AS err, {_marks("h", capture.SERVER_MARKS)} AND n <= {capture.PLACEHOLDER} AS server,
+ {_marks("h", capture.SHELLS["authentication"])} OR regexp_matches(u, '{capture.LOGIN_PATH}') AS auth, {_marks("h", capture.SHELLS["challenge"])} OR regexp_matches(u, '{capture.CHALLENGE_PATH}') AS chal, {_marks("h", capture.SHELLS["redirect"])} AS redir,
+ regexp_matches(u, '{capture.BARRIER_URL}') OR {_marks("h", capture.SHELLS["subscription"])} OR {" OR ".join("(" + " AND ".join(f"contains(h, '{m}')" for m in marks) + ")" for marks in capture.SUBSCRIPTION_SETS)} AS walled, contains(h, '{capture.SNIPPET_MARK}') AS snippet,
+ {" AND ".join(f"contains(h, '{m}')" for m in capture.CUT_NOTICE)} AS cut, contains(u, 'bloomberg.com/') AND (contains(h, 'teaser-body__') OR (contains(h, 'body-content') AND contains(h, 'teaser-content__'))) AS teaser,
+ {" AND ".join(f"regexp_matches(h, '{x}')" for x in capture.EMPTY_ARTICLE)} AS blank FROM p),
+t AS (SELECT *, (NOT art AND auth) OR (NOT art AND chal) OR snippet OR blank OR (NOT body AND walled) OR (NOT body AND redir) OR cut OR teaser OR server OR (looks AND n < {capture.TINY} AND NOT art AND NOT body) AS shell,
+ (CASE WHEN status = 200 THEN 35 ELSE 0 END + CASE WHEN looks THEN 25 ELSE 0 END + CASE WHEN n >= {capture.SUBSTANTIAL} THEN 15 ELSE 0 END + CASE WHEN art THEN 15 ELSE 0 END + CASE WHEN err THEN 0 ELSE 10 END)::INT AS points FROM s)
+SELECT page_id, CASE WHEN shell THEN greatest(0, points - 60) ELSE points END AS score FROM t
+""")
+def capture_score(spark: SparkSession, d: str) -> DataFrame:
+    status = F.when(F.col("page_id") % 9 == 0, 404).otherwise(200)
+    s = _t(spark, d, "pages").select("page_id", capture.signals(F.col("html"), status, F.lit(""), F.col("url")).alias("s"))
+    return s.select("page_id", capture.score(F.col("s")).alias("score"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'https://www.bloomberg.com/news/articles/2021-03-04/' || p_partkey END AS original FROM part")
+def mirrored_urls(spark: SparkSession, d: str) -> DataFrame:
+    url = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("https://www.bnnbloomberg.ca/bloomberg/2021/03/04/"), "p_partkey", F.lit("/?x=1"))).otherwise("https://example.com/x")
+    return _t(spark, d, "part").select("p_partkey", urls.mirrored_original(url).alias("original"))
+
+
+@query("""
+SELECT o_orderkey, abs(o_orderkey % 41 - 20)::INT AS gap, o_orderkey % 41 = 20 AS shown FROM orders
+""")
+def visible_dates(spark: SparkSession, d: str) -> DataFrame:
+    """Each of the five spellings in turn, so many days before or after the expected day."""
+    day = F.date_add(F.lit("2012-03-10").cast("date"), (F.col("o_orderkey") % 41 - 20).cast("int"))
+    shown = F.lit("")
+    for k, f in enumerate(("yyyy-MM-dd", "MMMM d, yyyy", "MMM d, yyyy", "d MMMM yyyy", "d MMM yyyy")):
+        shown = F.when(F.col("o_orderkey") % 5 == k, F.date_format(day, f)).otherwise(shown)
+    page, want = F.concat(F.lit("Posted on "), shown, F.lit(" by the desk")), F.lit("2012-03-10").cast("date")
+    return _t(spark, d, "orders").select("o_orderkey", dates.visible_date_gap(page, want).alias("gap"), dates.date_visible(page, want).alias("shown"))
+
+
+_QUEUE = "q AS (SELECT o_orderkey AS key, CASE WHEN o_orderstatus = 'F' THEN 'error' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'complete' END AS status, (o_orderkey % 5)::INT AS attempts, o_orderdate AS day FROM orders)"
+
+
+def _queue(spark: SparkSession, d: str) -> DataFrame:
+    status = F.when(F.col("o_orderstatus") == "F", "error").when(F.col("o_orderstatus") == "O", "pending").otherwise("complete")
+    return _t(spark, d, "orders").select(F.col("o_orderkey").alias("key"), status.alias("status"), (F.col("o_orderkey") % 5).cast("int").alias("attempts"), F.col("o_orderdate").alias("day"), F.lit(None).cast("string").alias("error"))
+
+
+@query(f"""
+WITH {_QUEUE}, c AS (SELECT key FROM q WHERE status IN ('pending', 'error') AND attempts < 3 ORDER BY day, key LIMIT 200)
+SELECT key, CASE WHEN c.key IS NULL THEN status WHEN key % 2 = 0 THEN 'complete' WHEN attempts + 1 >= 3 THEN 'exhausted' ELSE 'error' END AS status, attempts + (c.key IS NOT NULL)::INT AS attempts, CASE WHEN c.key IS NOT NULL AND key % 2 = 1 THEN 'timeout' END AS error FROM q LEFT JOIN c USING (key)
+""")
+def claimed_turn(spark: SparkSession, d: str) -> DataFrame:
+    """A turn of 200 rows: claimed, half of them failed, settled."""
+    now, mine = turns.claim(_queue(spark, d), "key", ["day", "key"], 200)
+    back = mine.select("key", F.when(F.col("key") % 2 == 1, "timeout").alias("error"))
+    return turns.settle(now, back, "key").select("key", "status", "attempts", "error")
+
+
+@query(f"WITH {_QUEUE}, s AS (SELECT status, count(*) AS n FROM q GROUP BY status) SELECT string_agg(status || '=' || n, ';' ORDER BY status) AS by_status, sum(n)::BIGINT AS rows, (SELECT sum(attempts)::BIGINT FROM q) AS attempts FROM s")
+def queue_summary(spark: SparkSession, d: str) -> DataFrame:
+    return summary.status_summary(_queue(spark, d), sums=("attempts",)).select(summary.shown(F.col("by_status")).alias("by_status"), "rows", "attempts")
+
+
+_TABLES = "s AS (SELECT o_orderkey AS k FROM orders WHERE o_custkey % 3 = 0), c AS (SELECT o_orderkey AS k, o_orderstatus <> 'P' AS done, year(o_orderdate) AS y FROM orders WHERE o_orderkey % 4 <> 1), r AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_quantity >= 48), x AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_discount >= 0.1)"
+
+
+def _tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    o, li = _t(spark, d, "orders"), _t(spark, d, "lineitem")
+    key = F.col("o_orderkey").alias("canonical_url")
+    captures = o.where("o_orderkey % 4 <> 1").select(key, F.when(F.col("o_orderstatus") != "P", "complete").otherwise("pending").alias("status"), F.year("o_orderdate").alias("y"))
+    of = lambda c: li.where(c).select(F.col("l_orderkey").alias("canonical_url")).distinct()
+    return o.where("o_custkey % 3 = 0").select(key), captures, of("l_quantity >= 48"), of("l_discount >= 0.1")
+
+
+@query(f"WITH {_TABLES} SELECT k AS canonical_url FROM s WHERE k IN (SELECT k FROM c WHERE done) AND k NOT IN (SELECT k FROM r)")
+def pending_validation(spark: SparkSession, d: str) -> DataFrame:
+    samples, captures, results, _ = _tables(spark, d)
+    return joins.pending(samples, captures, results, complete_only=True)
+
+
+@query(f"WITH {_TABLES} SELECT k AS canonical_url FROM c WHERE k NOT IN (SELECT k FROM s) AND k NOT IN (SELECT k FROM x)")
+def unsampled_captures(spark: SparkSession, d: str) -> DataFrame:
+    samples, captures, _, out = _tables(spark, d)
+    return joins.unsampled(captures, samples, out).select("canonical_url")
+
+
+@query(f"WITH {_TABLES} SELECT y::INT AS year, count_if(x.k IS NULL)::BIGINT AS eligible, count_if(x.k IS NOT NULL)::BIGINT AS excluded FROM c LEFT JOIN x USING (k) WHERE y BETWEEN 1993 AND 1997 GROUP BY y")
+def exclusion_split(spark: SparkSession, d: str) -> DataFrame:
+    _, captures, _, out = _tables(spark, d)
+    return joins.exclusion_split(captures, out, F.col("y"), 1993, 1997)
+
+
+@query(f"WITH {_TABLES} SELECT k AS canonical_url, 0 AS sample_year FROM s UNION ALL SELECT k, 1 FROM r WHERE k NOT IN (SELECT k FROM s)")
+def adopted_samples(spark: SparkSession, d: str) -> DataFrame:
+    samples, _, results, _ = _tables(spark, d)
+    return joins.adopt(samples.withColumn("sample_year", F.lit(0)), results, F.lit(1))
+
+
+@query("SELECT DISTINCT sha256(html) AS sha256, 'objects/html/' || substr(sha256(html), 1, 2) || '/' || sha256(html) || '.html.gz' AS path, strlen(html) AS bytes FROM pages")
+def page_objects(spark: SparkSession, d: str) -> DataFrame:
+    return store.objects(_t(spark, d, "pages").select(F.encode("html", "UTF-8").alias("content")), "html").select("sha256", "path", "bytes")
