@@ -9,28 +9,36 @@ from tidemark.functions import text, urls
 from tidemark.operators.rank import top_per_key
 
 
-def title_match(left: DataFrame, right: DataFrame, days: int = 2, least: float = 0.9, least_shared: int = 4, keep: int = 3) -> DataFrame:
+def title_match(left: DataFrame, right: DataFrame, days: int = 2, least: float = 0.9, least_shared: int = 4, keep: int = 3, same_year: bool = True) -> DataFrame:
     """Pairs of (id, title, day) whose titles share at least `least` of the larger token set and least_shared
-    tokens, days apart at most; per left id the best `keep`.
+    tokens, days apart at most and, if wanted, in one year; per left id the best `keep`.
 
-    Equal year and each shared token make the join key.  Only the rarest tokens of a left title are exploded:
-    a match that misses at most (1 - least) of n tokens has one among any n - ceil(least * n) + 1, so prefix
-    filtering loses nothing and common words join nothing.
+    Titles of one token set and day are a class, and classes are matched, not their copies: each has the same
+    matches, and of a right class only its `keep` least ids can be among them.  Only the rarest tokens of a left class
+    are exploded: a match that misses at most (1 - least) of n tokens has one among any n - ceil(least * n) + 1, so
+    prefix filtering loses nothing and common words join nothing.  A pair is kept at the first of those that it shares.
     """
-    a = left.select(F.col("id").alias("a"), F.col("day").alias("day_a"), text.tokens(F.col("title")).alias("ta")).where(F.size("ta") >= least_shared)
-    b = right.select(F.col("id").alias("b"), F.col("day").alias("day_b"), text.tokens(F.col("title")).alias("tb")).where(F.size("tb") >= least_shared)
-    count = b.select(F.explode("tb").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
-    pool = a.select("a", "day_a", "ta", F.explode("ta").alias("t")).join(count, "t", "left")
-    need = F.size("ta") - F.ceil(F.size("ta") * least) + 1
-    rare = pool.groupBy("a", "day_a", need.cast("int").alias("need")).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("x"))
-    rare = rare.select("a", "day_a", F.explode(F.slice("x", F.lit(1), F.col("need"))).alias("x")).select("a", "day_a", "x.t")
+    kind = lambda df, id_, day, key: df.where("day IS NOT NULL").select(F.col("id").alias(id_), F.col("day").alias(day), F.array_sort(text.tokens(F.col("title"))).alias("t")).where(F.size("t") >= max(1, least_shared)).select(id_, day, F.array_join("t", " ").alias(key))
+    a, b = kind(left, "a", "day_a", "ka"), kind(right, "b", "day_b", "kb")
+    first = top_per_key(b, ["kb", "day_b"], [F.asc_nulls_last("b")], keep, "nth").groupBy("kb", "day_b").agg(F.array_sort(F.collect_list(F.struct("nth", "b"))).alias("bs")).select("day_b", "bs", F.split("kb", " ").alias("tb"))
+    kinds = a.select("ka", "day_a").distinct()
+    count = first.select(F.explode("tb").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    pool = kinds.select("ka", "day_a", F.explode(F.split("ka", " ")).alias("t")).join(count, "t", "left")
+    rare = pool.groupBy("ka", "day_a").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("x"))
+    need = (F.size("x") - F.ceil(F.size("x") * least - 1e-9) + 1).cast("int")
+    rare = rare.select("ka", "day_a", F.col("x.t").alias("ta"), need.alias("need"))
+    rare = rare.select("ka", "day_a", "ta", F.posexplode(F.slice("ta", F.lit(1), F.col("need"))).alias("k", "t"))
     # the days around a title are join keys too, so that a common token doesn't pair all times
-    near = rare.withColumn("day_b", F.explode(F.sequence(F.date_sub("day_a", days), F.date_add("day_a", days)))).where(F.year("day_a") == F.year("day_b"))
-    pairs = near.join(b.select("b", "day_b", F.explode("tb").alias("t")), ["t", "day_b"]).select("a", "b").distinct()
-    # each pair once, and only then its titles
-    pairs = pairs.join(a, "a").join(b, "b").withColumn("overlap", text.overlap(F.col("ta"), F.col("tb"), "greatest"))
-    pairs = pairs.where((F.col("overlap") >= least) & (text.shared(F.col("ta"), F.col("tb")) >= least_shared)).select("a", "b", "overlap", F.abs(F.datediff("day_a", "day_b")).alias("apart"))
-    return top_per_key(pairs, ["a"], [F.desc("overlap"), "apart", "b"], keep)
+    near = rare.withColumn("day_b", F.explode(F.sequence(F.date_sub("day_a", days), F.date_add("day_a", days))))
+    near = near.where(F.year("day_a") == F.year("day_b")) if same_year else near
+    pairs = near.join(first.select("*", F.explode("tb").alias("t")), ["t", "day_b"]).where(~F.arrays_overlap(F.slice("ta", F.lit(1), F.col("k")), "tb"))
+    pairs = pairs.withColumn("overlap", text.overlap(F.col("ta"), F.col("tb"), "greatest")).where((F.col("overlap") >= least) & (text.shared(F.col("ta"), F.col("tb")) >= least_shared))
+    pairs = pairs.select("ka", "day_a", "overlap", F.abs(F.datediff("day_a", "day_b")).alias("apart"), "bs")
+    order = [F.desc("overlap"), "apart", F.asc_nulls_last("b")]
+    # the best classes by their least id hold the best ids
+    best = top_per_key(pairs.withColumn("b", F.col("bs")[0]["b"]), ["ka", "day_a"], order, keep).select("ka", "day_a", "overlap", "apart", F.explode("bs.b").alias("b"))
+    best = top_per_key(best, ["ka", "day_a"], order, keep).groupBy("ka", "day_a").agg(F.collect_list(F.struct("b", "overlap", "apart")).alias("best"))
+    return top_per_key(a.join(best, ["ka", "day_a"]).select("a", F.inline("best")), ["a"], order, keep)
 
 
 def token_pairs(left: DataFrame, right: DataFrame, least: float, over: str = "least") -> DataFrame:

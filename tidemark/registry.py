@@ -270,8 +270,8 @@ p AS (SELECT x.id AS a, y.id AS b, len(list_intersect(x.w, y.w)) / greatest(len(
 SELECT a, b, overlap, apart FROM p WHERE overlap >= 0.75 QUALIFY row_number() OVER (PARTITION BY a ORDER BY overlap DESC, apart, b) <= 3
 """)
 def title_match(spark: SparkSession, d: str) -> DataFrame:
-    p = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("title"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")).alias("day"))
-    return joins.title_match(p, p, 2, 0.75, 2, 3)
+    p = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.concat("p_name", F.lit(" "), "p_type").alias("title"), F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")).alias("day"))
+    return joins.title_match(p, p, 2, 0.75, 2, 3, same_year=False)
 
 
 @query("""
