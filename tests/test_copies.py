@@ -44,3 +44,17 @@ def test_title_match_takes_titles_whole(spark, tmp_path):
     spark.createDataFrame([(1, "a1 b1", "C1 D1", 1), (2, None, "C1 D1", 1), (3, "a1 b1", "C1 D1", 366), (4, "b1 a1", "D1 C1", 365)], "p_partkey long, p_name string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     got = sorted((r.a, r.b, r.apart) for r in registry.QUERIES["title_match"](spark, str(tmp_path)).collect())
     assert got == [(1, 1, 0), (3, 3, 0), (3, 4, 1), (4, 3, 1), (4, 4, 0)]
+
+
+def test_search_overlap_of_copies(spark, tmp_path):
+    """Of found titles with one token set only the first of the order are joined; titles without a size come last."""
+    names = ["red ring", "ring red", "blue ring", "red bolt", "sale gear", "the"]
+    parts = [(i, names[i % 6], None if i < 60 else i % 7) for i in range(6000)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    rows, most = most_rows(spark, registry.QUERIES["search_overlap"](spark, str(tmp_path)))
+    want = set()
+    for k, name in enumerate(names):
+        x = set(f"{name} sale".split()) - {"the"}
+        found = [(-len(x & y) / min(len(x), len(y)), (s is None, s), i) for i, n, s in parts if (y := set(n.split()) - {"the"})]
+        want |= {(k, i, -o, place) for place, (o, _, i) in enumerate(sorted(f for f in found if f[0] <= -0.35)[:8], 1)}
+    assert {tuple(r) for r in rows} == want and len(rows) == len(want) and most <= len(parts)

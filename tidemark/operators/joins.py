@@ -93,10 +93,17 @@ def rank_intervals(items: DataFrame, intervals: DataFrame, keep: int = 3) -> Dat
     return best.select("id", "at", "s.name", "s.gap", (F.col("place") + 1).alias("place"))
 
 
-def sharing_tokens(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(a, b) of (id, title): pairs whose titles share a token, which is all that an overlap above 0 needs."""
-    token = lambda: F.explode(text.tokens(F.col("title"))).alias("t")
-    return left.select(F.col("id").alias("a"), token()).join(right.select(F.col("id").alias("b"), token()), "t").select("a", "b").distinct()
+def sharing_tokens(expected: DataFrame, found: DataFrame, keep: int) -> DataFrame:
+    """(id, position, priority, expected, found) of (id, title) and (position, priority, title): pairs whose titles share a
+    token, which is all that an overlap above 0 needs, with their token sets.
+
+    Found titles of one token set overlap with any other alike, so but their first `keep` by priority and position none
+    can be among the first `keep` of an id, and only those are joined.  A pair is kept at the first token that it shares."""
+    e = expected.select("id", F.array_sort(text.tokens(F.col("title"))).alias("expected"))
+    f = found.select("position", "priority", F.array_sort(text.tokens(F.col("title"))).alias("found")).where(F.size("found") > 0)
+    f = top_per_key(f.withColumn("kind", F.array_join("found", " ")), ["kind"], [F.asc_nulls_last("priority"), F.asc_nulls_last("position")], keep).drop("kind")
+    pairs = e.select("*", F.explode("expected").alias("t")).join(f.select("*", F.explode("found").alias("t")), "t")
+    return pairs.where(F.array_intersect("expected", "found")[0] == F.col("t")).drop("t")
 
 
 # ---- semi and anti joins of the validation tables ----
@@ -184,9 +191,11 @@ def preindex(captures: DataFrame, articles: DataFrame, keep: int = 3) -> DataFra
 
 
 def by_overlap(pairs: DataFrame, expected: str, found: str, least: float = 0.35, keep: int = 8) -> DataFrame:
-    """Search results (id, position, priority, both titles) by falling overlap, priority and position."""
-    share = text.overlap(text.tokens(F.col(expected)), text.tokens(F.col(found)), "least")
-    return top_per_key(pairs.withColumn("overlap", share).where(F.col("overlap") >= least), ["id"], [F.desc("overlap"), "priority", "position"], keep, "place")
+    """Search results (id, position, priority, both titles) by falling overlap, priority and position.  Titles are texts
+    or, where they are made already, arrays of tokens."""
+    e, f = (F.col(c) if dict(pairs.dtypes)[c].startswith("array") else text.tokens(F.col(c)) for c in (expected, found))
+    share = text.overlap(e, f, "least")
+    return top_per_key(pairs.withColumn("overlap", share).where(F.col("overlap") >= least), ["id"], [F.desc("overlap"), F.asc_nulls_last("priority"), F.asc_nulls_last("position")], keep, "place")
 
 
 def best_original(rows: DataFrame, least: float = 0.8, least_shared: int = 4) -> DataFrame:

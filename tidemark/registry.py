@@ -321,9 +321,8 @@ SELECT id, p_partkey AS position, overlap, (row_number() OVER (PARTITION BY id O
 """)
 def search_overlap(spark: SparkSession, d: str) -> DataFrame:
     e = _t(spark, d, "part").groupBy("p_name").agg(F.min("p_partkey").alias("id")).select("id", F.concat("p_name", F.lit(" sale")).alias("title"))
-    f = _t(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("priority"), F.col("p_name").alias("title"))
-    near = joins.sharing_tokens(e, f).join(e.select(F.col("id").alias("a"), F.col("title").alias("expected")), "a").join(f.select(F.col("id").alias("b"), "priority", F.col("title").alias("found")), "b")
-    return joins.by_overlap(near.withColumnsRenamed({"a": "id", "b": "position"}), "expected", "found").select("id", "position", "overlap", "place")
+    f = _t(spark, d, "part").select(F.col("p_partkey").alias("position"), F.col("p_size").alias("priority"), F.col("p_name").alias("title"))
+    return joins.by_overlap(joins.sharing_tokens(e, f, 8), "expected", "found").select("id", "position", "overlap", "place")
 
 
 @query(f"""
