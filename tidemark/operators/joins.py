@@ -57,14 +57,15 @@ def token_pairs(left: DataFrame, right: DataFrame, least: float, over: str = "le
 
 
 def asof(left: DataFrame, right: DataFrame, key: str, at: str, within: int) -> DataFrame:
-    """For each left row (id, key, at) the latest right row (ref, key, at) not after it and within so many days.
+    """For each left row (id, key, at) the latest right row (ref, key, at) not after it and within so many days; null keys
+    and times match none.
 
     A sort-merge as-of: both sides are unioned and the last right row is carried along each key in time order,
     so a key costs one sort, not a product of its rows."""
     from pyspark.sql import Window
 
     a = left.select("id", key, at, F.lit(None).cast(right.schema["ref"].dataType).alias("ref"), F.lit(1).alias("side"))
-    b = right.select(F.lit(None).cast(left.schema["id"].dataType).alias("id"), key, at, "ref", F.lit(0).alias("side"))
+    b = right.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.lit(None).cast(left.schema["id"].dataType).alias("id"), key, at, "ref", F.lit(0).alias("side"))
     w = Window.partitionBy(key).orderBy(at, "side", "ref").rowsBetween(Window.unboundedPreceding, 0)
     seen = F.last(F.when(F.col("side") == 0, F.struct("ref", at)), ignorenulls=True).over(w)
     out = a.unionByName(b).withColumn("seen", seen).where("side = 1")

@@ -281,7 +281,9 @@ j AS (SELECT p.id, p.k, p.t, r.ref, r.t AS rt FROM p LEFT JOIN r ON r.k = p.k AN
 SELECT id, k, t AS "at", CASE WHEN date_diff('day', rt, t) <= 30 THEN ref END AS ref, CASE WHEN date_diff('day', rt, t) <= 30 THEN rt END AS ref_at FROM j
 """)
 def asof_title(spark: SparkSession, d: str) -> DataFrame:
-    r = rank.top_per_key(_t(spark, d, "lineitem"), ["l_orderkey"], ["l_shipdate", "l_linenumber"], 1).select(F.col("l_orderkey").alias("ref"), F.col("l_suppkey").alias("k"), F.col("l_shipdate").alias("at"))
+    # the SQL leaves open which of equal dates and numbers is first; here it is the least supplier, in any run
+    order = [F.asc_nulls_last(c) for c in ("l_shipdate", "l_linenumber", "l_suppkey")]
+    r = rank.top_per_key(_t(spark, d, "lineitem"), ["l_orderkey"], order, 1).select(F.col("l_orderkey").alias("ref"), F.col("l_suppkey").alias("k"), F.col("l_shipdate").alias("at"))
     o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("k"), F.col("o_orderdate").alias("at"))
     return joins.asof(o, r, "k", "at", 30)
 
