@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import capture, dates, html, quality, text, urls
-from tidemark.operators import audit, dedupe, joins, manifest, rank, sampling, state, store, summary, turns
+from tidemark.operators import audit, containment, dedupe, joins, manifest, rank, sampling, state, store, summary, turns
 from tidemark.plans import dispatch
 from tidemark.streaming import pages as streams
 
@@ -332,19 +332,9 @@ WITH e AS (SELECT doc_id AS id, source, {_WORDS.format("text")} AS x FROM docume
 SELECT id, arg_max(url, (coverage, -url)) AS url, max(coverage) AS coverage FROM s WHERE coverage >= 0.8 AND shared >= 4 GROUP BY id
 """)
 def best_original(spark: SparkSession, d: str) -> DataFrame:
-    """Copies of a document in its source.  Token sets are made once; candidates must share the four rarest
-    words' prefix, so no source is multiplied with itself."""
+    """Copies of a document in its source."""
     docs = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", text.tokens(F.col("text")).alias("x"))
-    words = docs.select("id", "source", F.explode("x").alias("w"))
-    n = words.groupBy("source", "w").agg(F.count("*").alias("n"))
-    # coverage of 0.8 misses at most a fifth of the words: a match has one of the rarest size - ceil(0.8 size) + 1
-    ranked = words.join(n, ["source", "w"]).join(docs.select("id", F.size("x").alias("size")), "id")
-    from pyspark.sql import Window
-
-    rare = ranked.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("n", "w"))).where("k <= size - ceil(size * 0.8) + 1").select("id", "source", "w")
-    pairs = rare.join(words.select(F.col("id").alias("url"), "source", "w"), ["source", "w"]).where("id <> url").select("id", "url").distinct()
-    both = pairs.join(docs.select("id", F.col("x").alias("expected")), "id").join(docs.select(F.col("id").alias("url"), F.col("x").alias("found")), "url")
-    return joins.best_original(both.withColumn("position", F.col("url")))
+    return containment.best_container(docs)
 
 
 @query("""
